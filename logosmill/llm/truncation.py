@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .textnorm import consistent, fold_char, to_string_array
 
@@ -86,20 +87,15 @@ def find_limits(df: DataFrame, source_col: str, text_col: str = "text", least: i
         F.col(source_col).alias("s"), F.explode(F.array(F.struct(F.lit("c").alias("u"), F.length(text_col).alias("n")), F.struct(F.lit("b").alias("u"), (F.octet_length(text_col)).alias("n")))).alias("x")
     )
     counts = lengths.select("s", "x.u", "x.n").groupBy("s", "u", "n").count()
-    total = counts.where("u = 'c'").groupBy("s").agg(F.sum("count").alias("total"))
-    spikes = counts.join(F.broadcast(total), counts.s.eqNullSafe(total.s)).select(counts.s, "u", "n", "count", "total").where((F.col("count") >= least) & (F.col("count") >= share * F.col("total")))
-    rows = spikes.collect()
-    if not rows:
-        return {}
-    around = (
-        counts.alias("a").join(F.broadcast(spikes.select("s", "u", F.col("n").alias("m")).alias("b")), F.expr("a.s <=> b.s and a.u = b.u and abs(a.n - b.m) between 5 and 25"))
-        .groupBy("b.s", "b.u", "b.m").agg(F.sum("count").alias("c"))
-    )
-    near = {(r.s, r.u, r.m): r.c for r in around.collect()}
+    source = Window.partitionBy("s", "u")
+    near = source.orderBy("n")
+    spikes = counts.select(
+        "s", "u", "n", "count", F.sum("count").over(source).alias("total"),
+        (F.sum("count").over(near.rangeBetween(-25, 25)) - F.sum("count").over(near.rangeBetween(-4, 4))).alias("around"),
+    ).where((F.col("count") >= least) & (F.col("count") >= share * F.col("total")) & (F.col("count") >= times * F.col("around") / 42))
     out: dict = {}
-    for r in rows:
-        if r["count"] >= times * near.get((r.s, r.u, r.n), 0) / 41:
-            out.setdefault(r.s, ([], []))[r.u == "b"].append(r.n)
+    for r in spikes.select("s", "u", "n").orderBy("s", "u", "n").collect():
+        out.setdefault(r.s, ([], []))[r.u == "b"].append(r.n)
     return out
 
 
