@@ -55,6 +55,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def compact(df: DataFrame) -> DataFrame:
-    """As many partitions as the shuffle setting has at most, without a shuffle."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def hash_sample(df: DataFrame, id_col: str, size: int) -> DataFrame:
+    """About ``size`` rows (all, if there are no more), those whose id has the least hashes. Only these rows leave the executors."""
+    total = df.count()
+    if total <= size:
+        return df
+    bound = int(size / total * (1 << 63))
+    return df.where(F.expr(f"shiftrightunsigned(xxhash64(`{id_col}`), 1) < {bound}L"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, lookalikes, quality, truncation
-from .common import load, records
+from . import components, language, leakage, lookalikes, mixing, neardup, overlap, packing, quality, truncation
+from .common import load, records, written
 
 PROSE_TABLES = ("conv_sentences", "wiki_articles")
+SENTENCE_TABLES = ("conv_sentences", "lit_sentences")
 
 
 def common_words(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
@@ -16,6 +17,21 @@ def common_words(spark: SparkSession, sf_dir: str) -> list[tuple[str, str]]:
     return [(r.lang, r.word) for r in load(spark, sf_dir, "common_words").select("lang", "word").orderBy("lang", "rank_no").collect()]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(records(spark, sf_dir)))
+    return pairs.select(F.least("train_id", "eval_id").alias("id_a"), F.greatest("train_id", "eval_id").alias("id_b")).distinct()
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per evaluation split and source table of the evaluation record: overlapping pairs, evaluation records concerned, and how much maximal matches cover."""
+    rows = records(spark, sf_dir)
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(rows)).select("train_id", "eval_id", "similarity", "covered", "spans").distinct()
+    where = rows.where("split_name in ('val', 'test')").select(F.col("rec_id").alias("eval_id"), "split_name", "source_name").distinct()
+    return pairs.join(where, "eval_id").groupBy("split_name", "source_name").agg(
+        F.count("*").alias("pairs"), F.countDistinct("eval_id").alias("eval_records"), F.avg("similarity").alias("mean_similarity"), F.sum("covered").alias("covered_words"), F.sum("spans").alias("spans")
+    )
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalize_lookalikes(records(spark, sf_dir, PROSE_TABLES), changed_only=True).distinct()
 
@@ -25,6 +41,22 @@ def p2_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.normalize_lookalikes(records(spark, sf_dir, PROSE_TABLES)).dropDuplicates(["rec_id"])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.alike_pairs(*neardup.alike_classes(records(spark, sf_dir, SENTENCE_TABLES))).distinct()
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group id (the least record id of the group) and the number of links between texts for every record with a non-empty text; records alike to none are groups of their own."""
+    rows = records(spark, sf_dir, SENTENCE_TABLES)
+    links, group = neardup.alike_classes(rows)
+    links = written(links, "p3-links")
+    cc = components.connected_components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").count()
+    own = group.join(cc.withColumnRenamed("id", "rep"), "rep", "left").join(ends, "rep", "left").select(F.col("id").alias("rec_id"), F.coalesce("component", "rep").alias("group_id"), F.coalesce("count", F.lit(0)).alias("links"))
+    every = rows.where("text <> ''").select("rec_id").distinct()
+    return every.join(own, "rec_id", "left").select("rec_id", F.coalesce("group_id", "rec_id").alias("group_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("links"))
+
+
 def _language(spark: SparkSession, sf_dir: str, output: str) -> DataFrame:
     common = common_words(spark, sf_dir)
     model = language.fit_language_model(records(spark, sf_dir, ("conv_sentences",)), common)
@@ -43,6 +75,16 @@ def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _language(spark, sf_dir, "segments").dropDuplicates(["rec_id", "segment"])
 
 
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each mix and source."""
+    return mixing.mix_sources(records(spark, sf_dir), load(spark, sf_dir, "mix_targets"))[1]
+
+
+def p5_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each record is used in each mix."""
+    return mixing.mix_sources(records(spark, sf_dir), load(spark, sf_dir, "mix_targets"))[0]
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = quality.text_quality(records(spark, sf_dir, PROSE_TABLES), common_words(spark, sf_dir))
     return stats.where("kind <> 'prose'").select("rec_id", "kind").distinct()
@@ -52,6 +94,23 @@ def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_quality(records(spark, sf_dir, PROSE_TABLES), common_words(spark, sf_dir)).dropDuplicates(["rec_id"])
 
 
+def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    import public_tokenizers
+
+    specs = load(spark, sf_dir, "pack_specs")
+    return packing.packed_documents(load(spark, sf_dir, "documents"), specs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), specs
+
+
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of each document or piece, for every row of pack_specs."""
+    return _packed(spark, sf_dir)[0]
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers and fill rate of every row of pack_specs."""
+    return packing.fill_rates(*_packed(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(load(spark, sf_dir, "documents"), load(spark, sf_dir, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -85,7 +144,7 @@ def p9_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p2_found, p2_text, p4_found, p4_records, p4_segments, p6_found, p6_stats, p8_found, p8_report, p9_found, p9_sources)
+    for f in (p1_found, p1_report, p2_found, p2_text, p3_found, p3_groups, p4_found, p4_records, p4_segments, p5_usage, p5_shares, p6_found, p6_stats, p7_containers, p7_fill, p8_found, p8_report, p9_found, p9_sources)
 }
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import hash_sample
 from .textnorm import consistent, fold_char, to_string_array
 
 DIM = 1 << 13
@@ -165,10 +166,10 @@ def _tails(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFr
 
 
 def fit_truncation(df: DataFrame, common: list[str], id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", sample: int = 6000) -> TruncationModel:
-    """Limits from all rows; the classifier from at most ``sample`` texts, chosen by hash of the id."""
+    """Limits from all rows; the classifier from about ``sample`` texts (all, if fewer), chosen by hash of the id."""
     limits = find_limits(df, source_col, text_col)
-    picked = df.where(F.length(text_col) > 20).withColumn("_h", F.xxhash64(id_col)).orderBy("_h").limit(sample)
-    rows = [(r.s, r.t, r.c, r.b) for r in _tails(picked, id_col, source_col, text_col).collect()]
+    picked = hash_sample(df.where(F.length(text_col) > 20), id_col, sample)
+    rows = [(r.s, r.t, r.c, r.b) for r in _tails(picked, id_col, source_col, text_col).orderBy("k", "t").collect()]
     return TruncationModel(rows, limits, {"".join(map(fold_char, w)) for w in common})
 
 
