@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 ETA = 0.1
-UNITS = 520
+PRICED = 64
+UNITS = 1040
 
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, most: np.ndarray, cap: int) -> np.ndarray:
@@ -57,7 +58,7 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, most: np.ndarray, cap: int)
     return out
 
 
-def plan_containers(sizes: np.ndarray, counts: np.ndarray, cap: int, eta: float = ETA, rate: float = 2.0) -> tuple[list[tuple[np.ndarray, int]], list[list[int]]]:
+def plan_containers(sizes: np.ndarray, counts: np.ndarray, cap: int, eta: float = ETA, rate: float = 2.0, priced: int = PRICED) -> tuple[list[tuple[np.ndarray, int]], list[list[int]]]:
     """Configurations (items of each class, containers), and the last containers as lists of class numbers."""
     left = counts.astype(np.int64).copy()
     plan: list[tuple[np.ndarray, int]] = []
@@ -67,6 +68,11 @@ def plan_containers(sizes: np.ndarray, counts: np.ndarray, cap: int, eta: float
         if not len(on):
             break
         share = left[on] / counts[on]
+        if len(on) > priced:  # partial pricing: the classes of most weight
+            top = on[np.argsort(-share, kind="stable")[: priced // 2]]
+            fit = np.minimum(np.searchsorted(sizes[on], cap - sizes[top], "right"), len(on)) - 1
+            on = np.unique(np.concatenate([top, on[fit[fit >= 0]]]))  # with the classes that fill what they leave
+            share = left[on] / counts[on]
         weight = np.exp(rate * (share - share.mean()))  # the product of all updates, by how much of a class is used
         most = np.maximum(1, (left[on] * eta).astype(np.int64))
         got = knapsack(sizes[on], sizes[on] * (1 + 0.05 * weight / weight.max()), most, cap)
