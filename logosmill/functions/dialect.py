@@ -58,6 +58,11 @@ class Spark:
     def join(lst: str) -> str:
         return f"array_join({lst}, ' ')"
 
+    @staticmethod
+    def pinned(relation: str, columns: str) -> str:
+        """The columns passed through a generator: later filters are not pushed below it, where they would repeat all steps."""
+        return f"select o.* from (select explode(array(struct({columns}))) as o from ({relation}) p0) p1"
+
 
 class Ansi(Spark):
     name = "ansi"
@@ -113,3 +118,7 @@ class Ansi(Spark):
     @staticmethod
     def join(lst: str) -> str:
         return f"array_to_string({lst}, ' ')"
+
+    @staticmethod
+    def pinned(relation: str, columns: str) -> str:
+        return f"select {columns} from ({relation}) p0"

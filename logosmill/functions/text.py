@@ -104,8 +104,13 @@ def perplexity(loss: Column) -> Column:
     return F.exp(F.least(loss, F.lit(20.0)))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once a row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def softmax(c: Column) -> Column:
     """Of an array, the greatest value subtracted first."""
-    top = F.array_max(c)
-    e = F.transform(c, lambda x: F.exp(x.cast("double") - top.cast("double")))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+    total = lambda e: F.aggregate(e, F.lit(0.0), lambda a, b: a + b)
+    powers = lambda t: F.transform(c, lambda x: F.exp(x.cast("double") - t))
+    return let(F.array_max(c).cast("double"), lambda t: let(powers(t), lambda e: let(total(e), lambda s: F.transform(e, lambda x: x / s))))

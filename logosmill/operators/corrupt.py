@@ -7,12 +7,14 @@ relation with ``id`` (string) and ``sentence``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
 from ..functions.dialect import Spark
-from ..functions.text import strip_accents, strip_edges
+from ..functions.text import strip_accents
 from .ranking import first_rows
 
 KEYS = "".join(X.ADJACENT)
@@ -28,18 +30,6 @@ def _base(c: str) -> str:
     return f"lower(translate({c}, '{X.ACCENTED}', '{X.PLAIN}'))"
 
 
-def adjacency_sql(d, w: str, key: str, salt: str = "adj") -> str:
-    """One letter that has neighbours on the keyboard, replaced by one of them; null if there is none."""
-    able = d.filter(d.seq("1", f"length({w})"), "i", f"instr('{KEYS}', {_base(f'substr({w}, cast(i as int), 1)')}) > 0")
-    near = d.array([_q(v) for v in X.ADJACENT.values()])
-    i = d.at(able, f"{d.draw(key, salt + '-place')} % {d.size(able)} + 1")
-    around = d.at(near, f"instr('{KEYS}', {_base('ch')})")
-    return (
-        f"case when {d.size(able)} = 0 then null else (select concat(substr({w}, 1, i - 1), case when ch <> lower(ch) then upper(new) else new end, substr({w}, i + 1)) "
-        f"from (select i, ch, substr(near, cast({d.draw(key, salt + '-key')} % length(near) + 1 as int), 1) as new from (select i, ch, {around} as near from (select cast({i} as int) as i, substr({w}, cast({i} as int), 1) as ch)))) end"
-    )
-
-
 def stage_sql(d, source: str) -> str:
     """The text of the whole corruption of sentences: one target word each, a draw of the kind of error, and the parts of the prompt."""
     W, wordch = X.W, r"\p{L}\p{N}_"
@@ -56,6 +46,7 @@ def stage_sql(d, source: str) -> str:
         f"case when {d.matches('raw', shape)} then {d.group('raw', shape, 3)} else '' end as suf from ({s3}) e"
     )
     s5 = f"select id, ws, t, pre, target, suf, {d.edges('target', EDGE_SQL)} as w from ({s4}) f"
+    s5 = d.pinned(s5, "id, ws, t, pre, target, suf, w")
     able = d.filter(d.seq("1", "length(w)"), "i", f"instr('{KEYS}', {_base('substr(w, cast(i as int), 1)')}) > 0")
     homs = d.filter(homo, "p", f"instr(lower(w), substr(p, 1, instr(p, '>') - 1)) > 0")
     s6 = (
@@ -67,6 +58,7 @@ def stage_sql(d, source: str) -> str:
         f"case when {d.size('homs')} > 0 then {d.at('homs', f'{d.draw('id', 'pair')} % greatest({d.size('homs')}, 1) + 1')} end as hp, "
         f"cast(case kind when 0 then {d.draw('id', 'at')} % (n - 1) when 2 then {d.draw('id', 'at')} % (n + 1) else {d.draw('id', 'at')} % n end as int) as k from ({s6}) h"
     )
+    s7 = d.pinned(s7, "id, ws, t, pre, target, suf, w, dice, kind, n, ai, hp, k")
     plain_or_alpha = f"case when instr('{X.ACCENTED}', substr(w, least(k, n - 1) + 1, 1)) > 0 then {_base('substr(w, least(k, n - 1) + 1, 1)')} else 'α' end"
     s8 = (
         f"select *, substr(w, ai, 1) as ac, {d.at(near, f'''instr('{KEYS}', {_base('substr(w, ai, 1)')})''')} as an, "
@@ -76,6 +68,7 @@ def stage_sql(d, source: str) -> str:
         f"select *, instr(lower(w), hs) as hi, substr(an, cast({d.draw('id', 'key')} % length(an) + 1 as int), 1) as ak, "
         f"substr(kn, cast({d.draw('id', 'inserted')} % length(kn) + 1 as int), 1) as kk from ({s8}) j"
     )
+    s9 = d.pinned(s9, "id, ws, t, pre, target, suf, w, dice, kind, n, ai, hp, k, ac, hs, hd, hi, ak, kk")
     s10 = (
         f"select *, nullif(translate(w, '{X.ACCENTED}', '{X.PLAIN}'), w) as g1, "
         f"case when ai is not null then concat(substr(w, 1, ai - 1), case when ac <> lower(ac) then upper(ak) else ak end, substr(w, ai + 1)) end as g2, "
@@ -89,8 +82,11 @@ def stage_sql(d, source: str) -> str:
         f"when dice < {NINE_TENTHS} and g3 is not null then 'homophone' when g4 is not null then 'dynamics' when g1 is not null then 'accent_strip' "
         f"when g2 is not null then 'adjacency' else 'none' end"
     )
+    s10 = d.pinned(s10, "id, ws, t, pre, target, suf, dice, g1, g2, g3, g4")
     s11 = f"select *, {label} as error_type from ({s10}) l"
     s12 = f"select *, case error_type when 'accent_strip' then g1 when 'adjacency' then g2 when 'homophone' then g3 when 'dynamics' then g4 end as bad from ({s11}) m"
+    columns = "id, ws, t, pre, target, suf, error_type, bad"
+    s12 = d.pinned(s12, columns)
     before = d.join(d.slice("ws", "1", "(t - 1)"))
     s13 = f"select *, case when t = 1 then '' else {before} end as ctx0 from ({s12}) o where bad is not null and bad <> target"
     s14 = f"select *, case when pre <> '' then {d.strip('''concat(ctx0, ' ', pre)''', W)} else ctx0 end as context from ({s13}) q"
@@ -103,7 +99,9 @@ def stage_sql(d, source: str) -> str:
 def correction_samples(df: DataFrame, id_col: str, line_col: str = "line") -> DataFrame:
     """One correction sample for each sentence that allows one: id, context, corrupted_word, target_word, error_type, full_sequence."""
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(line_col).alias("sentence"))
-    return df.sparkSession.sql(stage_sql(Spark, "{rows}"), rows=rows)
+    view = f"sentences_{uuid.uuid4().hex}"
+    rows.createOrReplaceTempView(view)
+    return df.sparkSession.sql(stage_sql(Spark, view))
 
 
 def evaluation_set(samples: DataFrame, n: int = 1000, seed: int = 1337) -> DataFrame:
@@ -140,4 +138,4 @@ def homophone_candidates(words: DataFrame) -> DataFrame:
     return w.select("word", "src", "dst", out.alias("corrupted")).where("corrupted <> word")
 
 
-__all__ = ["accent_pairs", "adjacency_candidates", "correction_samples", "evaluation_set", "homophone_candidates", "stage_sql", "strip_edges"]
+__all__ = ["accent_pairs", "adjacency_candidates", "correction_samples", "evaluation_set", "homophone_candidates", "stage_sql"]

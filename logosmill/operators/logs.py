@@ -14,7 +14,8 @@ def _points(df: DataFrame, keys: list[str], text: str, pattern: str, names: tupl
     parts = [F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(i)) for i in (1, 2, 3)]
     rows = df.where(F.col(text).isNotNull()).select(*keys, F.posexplode(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, names)])).alias("nth", "p"))
     a, b, c = names
-    return rows.select(*keys, (F.col("nth") + 1).alias("nth"), F.col(f"p.`0`").cast("bigint").alias(a), F.expr("try_cast(p.`1` as double)").alias(b), F.expr("try_cast(p.`2` as double)").alias(c))
+    number = lambda x: F.expr(f"try_cast(p.`{x}` as double)").alias(x)
+    return rows.select(*keys, (F.col("nth") + 1).cast("bigint").alias("nth"), F.expr(f"try_cast(p.`{a}` as bigint)").alias(a), number(b), number(c))
 
 
 def progress_points(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import perplexity, softmax, strip_accents
+from ..functions.text import let, perplexity, softmax, strip_accents
 
 
 def top_k(df: DataFrame, id_col: str, logits_col: str, k: int = 5, masked: int = 0) -> DataFrame:
@@ -26,7 +26,7 @@ def hit_rates(df: DataFrame, logits_col: str, target_col: str, ks: tuple[int, ..
     target = F.element_at(F.col(logits_col), F.col(target_col) + 1)
     rows = df.select(target.alias("t"), F.col(logits_col).alias("x"), F.col(target_col).alias("y"))
     rank = F.size(F.filter("x", lambda v, i: (v > F.col("t")) | ((v == F.col("t")) & (i < F.col("y"))))) + 1
-    loss = F.log(F.aggregate("x", F.lit(0.0), lambda a, v: a + F.exp(v.cast("double") - F.array_max("x").cast("double")))) + F.array_max("x").cast("double") - F.col("t").cast("double")
+    loss = let(F.array_max("x").cast("double"), lambda m: F.log(F.aggregate("x", F.lit(0.0), lambda a, v: a + F.exp(v.cast("double") - m))) + m) - F.col("t").cast("double")
     rows = rows.select(rank.alias("rank"), loss.alias("loss"))
     n = F.greatest(F.count("*"), F.lit(1))
     out = rows.agg(F.count("*").alias("test_tokens"), (F.coalesce(F.sum("loss"), F.lit(0.0)) / n).alias("cross_entropy_loss"), *[(F.coalesce(F.sum((F.col("rank") <= k).cast("int")), F.lit(0)) / n).alias(f"top{k}_acc") for k in ks])

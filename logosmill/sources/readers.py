@@ -11,13 +11,13 @@ from ..functions.text import strip
 def split_lines(df: DataFrame, id_col: str, text: Column, source: str, priority: int) -> DataFrame:
     """The non-blank lines of multi-line texts, stripped; null texts have none."""
     rows = df.select(F.lit(source).alias("source"), F.lit(priority).alias("priority"), F.col(id_col).alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return rows.select("source", "priority", "doc_id", (F.col("line_no") + 1).alias("line_no"), strip(F.col("line")).alias("line")).where("line <> ''")
+    return rows.select("source", "priority", "doc_id", (F.col("line_no") + 1).cast("bigint").alias("line_no"), strip(F.col("line")).alias("line")).where("line <> ''")
 
 
 def sentence_pairs(df: DataFrame, id_col: str, source: str, priority: int, language: str = "el") -> DataFrame:
     """One side of parallel sentences, neither stripped nor split; null and empty ones drop out."""
     text = F.col(f"translation.{language}")
-    return df.where(text != "").select(F.lit(source).alias("source"), F.lit(priority).alias("priority"), F.col(id_col).alias("doc_id"), F.lit(1).alias("line_no"), text.alias("line"))
+    return df.where(text != "").select(F.lit(source).alias("source"), F.lit(priority).alias("priority"), F.col(id_col).alias("doc_id"), F.lit(1).cast("bigint").alias("line_no"), text.alias("line"))
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
@@ -40,7 +40,7 @@ def read_raw_folder(spark: SparkSession, path: str) -> DataFrame:
 def parse_json_lines(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """As read_json_lines, from a column."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.from_json(json_col, "text string").alias("r")).where("r.text is not null")
-    return rows.select("doc_id", F.posexplode(F.split("r.text", "\n")).alias("line_no", "line")).select("doc_id", (F.col("line_no") + 1).alias("line_no"), strip(F.col("line")).alias("line")).where("line <> ''")
+    return rows.select("doc_id", F.posexplode(F.split("r.text", "\n")).alias("line_no", "line")).select("doc_id", (F.col("line_no") + 1).cast("bigint").alias("line_no"), strip(F.col("line")).alias("line")).where("line <> ''")
 
 
 def read_samples(spark: SparkSession, path: str, most: int | None = 500) -> DataFrame:
