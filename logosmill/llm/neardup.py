@@ -2,7 +2,7 @@
 
 Improved consistent weighted sampling over TF-IDF shingles, banded, verified.
 A shingle is one distinct word here and counts once, as TESTDATA.md measures
-likeness by sets of words; its sampling weight is its squared idf, so that
+likeness by sets of words; its sampling weight is its smoothed idf, so that
 records that share only frequent words seldom meet. Copies are one class.
 
 A bucket is worked through in blocks; the candidates of a large one go out as
@@ -21,7 +21,7 @@ from .common import written
 from .textnorm import binary_rows, mix64, unbinary_rows
 from .wordsets import BAR, LEAST, classes, members, word_table
 
-ROWS, BANDS = 3, 14
+ROWS, BANDS = 4, 20
 #: Shingles in less than this share of the texts all get the highest idf; only the others, at most (words a text) / FLOOR of them, are looked up.
 FLOOR = 1e-3
 BLOCK = 512
@@ -86,11 +86,11 @@ def icws(words: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
 class Sampler:
     """Signatures of word sets; values of words seen before are kept, up to a bound."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray, total: int, rows: int = ROWS, bands: int = BANDS, floor: float = FLOOR, power: float = 2.0, held: int = 150_000):
+    def __init__(self, frequent: np.ndarray, counts: np.ndarray, total: int, rows: int = ROWS, bands: int = BANDS, floor: float = FLOOR, held: int = 150_000):
         self.frequent, self.rows, self.bands, self.held = frequent, rows, bands, held
-        idf = np.log(1 / np.clip(counts / max(total, 1), floor, 1.0))
-        self.weight = idf**power + 0.02
-        self.most = np.log(1 / floor) ** power + 0.02
+        # smoothed: a word of all texts keeps a weight, so copies of a frequent template with small edits still meet
+        self.weight = np.log1p(1 / np.clip(counts / max(total, 1), floor, 1.0))
+        self.most = float(np.log1p(1 / floor))
         self.known = np.zeros(0, np.uint32)
         self.slot = np.zeros(0, np.int64)
         self.values = np.zeros((0, rows * bands), np.float32)

@@ -87,7 +87,7 @@ class _CharMap(dict):
 
 CHAR_MAP = _CharMap()
 WORD = re.compile(r"[^\W_](?:[^\W_]|[̀-ͯ])*")
-JOINER = re.compile("‍")
+MARKS = re.compile("[%s]" % "".join(chr(o) for o in range(0x300, 0x10000) if not 0xD800 <= o < 0xE000 and ud.category(chr(o)) == "Mn"))
 
 
 def _emoji(ch: str) -> bool:
@@ -279,8 +279,10 @@ class CharBatch:
             rows = np.flatnonzero(self.dirty)
             if len(rows):
                 fixed = [consistent(x) for x in arr.take(pa.array(rows)).to_pylist()]
-                self.text = pc.replace_with_mask(arr, pa.array(self.dirty), pa.array(fixed, pa.large_string()))
-                self._load(self.text)
+                mask = pa.array(self.dirty)
+                self.text = pc.replace_with_mask(arr, mask, pa.array(fixed, pa.large_string()))
+                bare = [MARKS.sub("", x) for x in fixed]  # marks that nothing composes with part no words
+                self._load(self.text if bare == fixed else pc.replace_with_mask(arr, mask, pa.array(bare, pa.large_string())))
 
     def _load(self, arr: pa.Array) -> None:
         t = tables()
