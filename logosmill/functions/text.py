@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import lexicon as X
 
@@ -33,7 +34,7 @@ def unescape(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(s: pd.Series) -> pd.Series:
     """Every HTML5 entity, Arrow batches."""
     return s.map(lambda x: x if x is None or "&" not in x else html.unescape(x))

@@ -52,7 +52,7 @@ def read_samples(spark: SparkSession, path: str, most: int | None = 500) -> Data
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """A whole training log as one value."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
