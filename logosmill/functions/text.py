@@ -66,7 +66,7 @@ def count(c: Column, pattern: str) -> Column:
 
 def greek_letters(c: Column) -> Column:
     """Letters of the Greek blocks."""
-    return count(c, rf"(?=\p{{L}}){X.GREEK}")
+    return count(c, r"[\x{370}-\x{3ff}\x{1f00}-\x{1fff}&&[\p{L}]]")
 
 
 def letters(c: Column) -> Column:
