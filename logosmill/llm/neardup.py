@@ -24,7 +24,9 @@ from .wordsets import BAR, LEAST, classes, members, word_table
 ROWS, BANDS = 4, 20
 #: Shingles in less than this share of the texts all get the highest idf; only the others, at most (words a text) / FLOOR of them, are looked up.
 FLOOR = 1e-3
-BLOCK = 512
+BLOCK = 2048
+#: Entries that one task takes; a part that a sample shows to hold more is split into blocks, and each pair of blocks is a task.
+PART_ENTRIES, SAMPLED = 1_000_000, 64
 ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("bits", "<u4"), ("id", "<i8")])
 
 
@@ -149,6 +151,11 @@ def may_be_alike(x: np.ndarray, y: np.ndarray, bar: float) -> np.ndarray:
     return size & (differ <= (1 - bar) / (1 + bar) * (a + b) + 1e-9) & (x["id"] != y["id"])
 
 
+def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of an id, where a part is split."""
+    return (mix64(ids.view(np.uint64) + np.uint64(29)) % np.uint64(blocks)).astype(np.int64)
+
+
 def bucket_pairs(e: np.ndarray, bar: float, block: int = BLOCK):
     """From entries of equal hash range: pairs (two arrays of ids) of the small buckets, and pairs of blocks of the large ones."""
     e = e[np.lexsort((e["id"], e["key"]))]
@@ -184,7 +191,9 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
     """Distinct (a, b), a < b, of classes that meet in a band and may be alike."""
     spark = reps.sparkSession
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, reps.count() * sampler.bands // 1_000_000 + 1)
+    parts = max(least, reps.count() * sampler.bands // PART_ENTRIES + 1)
+    block = BLOCK
+    split: dict[int, int] = {}  # part -> blocks, filled below; empty unless keys are skewed
 
     def sign(batches):
         for batch in batches:
@@ -202,15 +211,24 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
             e, part = e.ravel()[order], part[order]
             cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
             ends = np.append(cut, len(part))
-            off8 = ends * ENTRY.itemsize
-            data = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(off8.astype(np.int32)), pa.py_buffer(e)])
-            yield pa.RecordBatch.from_arrays([pa.array(part[cut]), data], ["p", "e"])
-
-    def pairs(table: pa.Table) -> pa.Table:
-        col = table.column("e").combine_chunks()
-        e = np.frombuffer(b"".join(col.to_pylist()), ENTRY)
+            rows = []
+            for p, a, b in zip(part[cut].tolist(), ends[:-1].tolist(), ends[1:].tolist()):
+                n = split.get(p, 1)
+                if n == 1:
+                    rows.append((p, 0, 0, e[a:b].tobytes()))
+                    continue
+                own = block_of(e["id"][a:b], n)
+                for i in np.unique(own).tolist():
+                    data = e[a:b][own == i].tobytes()
+                    rows += [(p, min(i, j), max(i, j), data) for j in range(n)]
+            p, i, j, data = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(data, pa.binary())], ["p", "i", "j", "e"])
+
+    def pairs(key, table):
+        p, i, j = (k.as_py() for k in key)
+        e = np.frombuffer(b"".join(table.column("e").to_pylist()), ENTRY)
         out = [[], [], [], []]
-        for x, y, blocks in bucket_pairs(e, bar):
+        for x, y, blocks in bucket_pairs(e, bar, block):
             if blocks:
                 out[2].append(x.tobytes())
                 out[3].append(y.tobytes())
@@ -218,6 +236,9 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
                 out[0].append(x)
                 out[1].append(y)
         a, b = (np.concatenate(o) if o else np.zeros(0, np.int64) for o in out[:2])
+        if i != j:  # pairs within a block are found where the block meets itself
+            apart = block_of(a, split[p]) != block_of(b, split[p])
+            a, b = a[apart], b[apart]
         if len(a):
             order = np.lexsort((b, a))
             a, b = a[order], b[order]
@@ -236,14 +257,19 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
             for i in np.flatnonzero(~plain):
                 x, y = np.frombuffer(batch.column(2)[i].as_py(), ENTRY), np.frombuffer(batch.column(3)[i].as_py(), ENTRY)
-                i2, j2 = np.repeat(np.arange(len(x)), len(y)), np.tile(np.arange(len(y)), len(x))
-                ok = may_be_alike(x[i2], y[j2], bar)
-                p, q = x["id"][i2[ok]], y["id"][j2[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
-
-    entries = reps.select("rep", "n", "words").mapInArrow(sign, "p int, e binary")
-    met = entries.groupBy("p").applyInArrow(pairs, "a bigint, b bigint, x binary, y binary")
-    return met.distinct().mapInArrow(expand, "a bigint, b bigint")
+                for a in range(0, len(x), 128):
+                    i2, j2 = np.repeat(np.arange(a, min(a + 128, len(x))), len(y)), np.tile(np.arange(len(y)), min(128, len(x) - a))
+                    ok = may_be_alike(x[i2], y[j2], bar)
+                    p, q = x["id"][i2[ok]], y["id"][j2[ok]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+
+    columns = reps.select("rep", "n", "words")
+    some = columns.where(F.pmod(F.xxhash64("rep"), F.lit(SAMPLED)) == 0)
+    schema = "p int, i int, j int, e binary"
+    full = some.mapInArrow(sign, schema).groupBy("p").agg(F.sum(F.length("e")).alias("s")).where(F.col("s") > 4 * PART_ENTRIES * ENTRY.itemsize / SAMPLED).collect()
+    split.update({r.p: int(r.s * SAMPLED / ENTRY.itemsize // PART_ENTRIES) + 1 for r in full})
+    met = columns.mapInArrow(sign, schema).groupBy("p", "i", "j").applyInArrow(pairs, "a bigint, b bigint, x binary, y binary")
+    return met.distinct().mapInArrow(expand, "a bigint, b bigint").distinct()  # blocks of several bands may hold the same pair
 
 
 def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR) -> DataFrame:

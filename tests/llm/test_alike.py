@@ -52,8 +52,11 @@ def test_near_duplicates(spark):
     assert neardup.alike_pairs(*neardup.alike_classes(empty)).count() == 0
 
 
-def test_hot_copies_and_large_buckets(spark, monkeypatch):
+@pytest.mark.parametrize("entries", [10**6, 150])
+def test_hot_copies_and_large_buckets(spark, monkeypatch, entries):
     monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "PART_ENTRIES", entries)
+    monkeypatch.setattr(neardup, "SAMPLED", 1)
     base = " ".join(f"λέξη{i}" for i in range(30))
     rows = [(i, f"{base} extra{i % 40}", "train") for i in range(60)] + [(100 + i, base, "train") for i in range(30)]
     want = brute(rows)
