@@ -46,11 +46,12 @@ def prefix_sums(sizes: DataFrame, seed: int = 20240607, range_rows: int = RANGE_
     ranges = 1
     while ranges * range_rows < rows:
         ranges *= 2
-    keyed = sizes.withColumn("key", F.xxhash64(F.lit(seed), "id")).withColumn("range", F.expr(f"cast(shiftrightunsigned(key, 32) div {max(1, (1 << 32) // ranges)} as int)"))
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string"))), 1, 15), 16, 10).cast("bigint")
+    keyed = sizes.withColumn("key", key).withColumn("range", F.expr(f"cast(key div {(1 << 60) // ranges}L as int)"))
     sums = keyed.groupBy("source", "range").agg(*[F.sum(u).alias(f"s_{u}") for u in UNITS])
     w = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("source", "range", *[F.coalesce(F.sum(f"s_{u}").over(w), F.lit(0)).alias(f"o_{u}") for u in UNITS])
-    inner = Window.partitionBy("source", "range").orderBy(F.expr("shiftrightunsigned(key, 32)"), "key", "id").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "range").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
     run = keyed.select("*", *[F.coalesce(F.sum(u).over(inner), F.lit(0)).alias(f"r_{u}") for u in UNITS])
     return run.join(offsets, ["source", "range"]).select("id", "source", *UNITS, *[(F.col(f"o_{u}") + F.col(f"r_{u}")).alias(f"before_{u}") for u in UNITS])
 

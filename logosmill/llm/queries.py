@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import components, language, leakage, lookalikes, mixing, neardup, overlap, packing, quality, truncation
 from .common import load, records, written
+from .oracles import ORACLE
 
 PROSE_TABLES = ("conv_sentences", "wiki_articles")
 SENTENCE_TABLES = ("conv_sentences", "lit_sentences")
@@ -77,7 +78,8 @@ def p4_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target and actual share of each mix and source."""
-    return mixing.mix_sources(records(spark, sf_dir), load(spark, sf_dir, "mix_targets"))[1]
+    shares = mixing.mix_sources(records(spark, sf_dir), load(spark, sf_dir, "mix_targets"))[1]
+    return shares.withColumn("budget", F.round("budget", 3)).withColumns({c: F.round(c, 6) for c in ("actual_share", "share_of_target_size")})
 
 
 def p5_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,4 +155,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
