@@ -677,3 +677,33 @@ def fallback_corpus(spark, sf_dir):
     """Picks from the corpus's own shortest sentences, for when no source gives anything."""
     pool = [r.line for r in audit.shortest(clean.cleaned(source_lines(spark, sf_dir, "literature")), ORDER, 20).select("line").collect()]
     return readers.fallback_lines(spark, pool or [""], 10_000)
+
+
+@query(f"select source, doc_id, line_no, line from ({CORPUS_SQL}) c order by priority, doc_id, line_no limit 500")
+def first_lines(spark, sf_dir):
+    """The first 500 lines in order of arrival."""
+    return corpus(spark, sf_dir).orderBy(*ORDER).limit(500).select("source", "doc_id", "line_no", "line")
+
+
+_MANIFEST = '{"name": "catalogue", "version": 1, "models": [{"id": "small", "quantization": "Q6", "filesize_bytes": 22, "features": ["base", "correction"]}, {"id": "large", "quantization": "Q8", "filesize_bytes": 27, "features": ["base"]}]}'
+
+
+@query("select * from (values ('catalogue', 1, 'small', 'Q6', 22::BIGINT, 2), ('catalogue', 1, 'large', 'Q8', 27::BIGINT, 1)) as m(catalogue, version, id, quantization, filesize_bytes, features)")
+def manifest_models(spark, sf_dir):
+    """Models of a nested manifest."""
+    schema = "name string, version int, models array<struct<id: string, quantization: string, filesize_bytes: bigint, features: array<string>>>"
+    m = spark.createDataFrame([(_MANIFEST,)], "j string").select(F.from_json("j", schema).alias("m")).select(F.col("m.name").alias("catalogue"), "m.version", F.explode("m.models").alias("x"))
+    return m.select("catalogue", "version", "x.id", "x.quantization", "x.filesize_bytes", F.size("x.features").alias("features"))
+
+
+_USE, _PLAIN = int(0.30 * 2**32), int(0.35 * 2**32)
+
+
+@query(
+    f"with t as ({_TYPOS}), l as (select id, sentence as line, {Ansi.draw('''concat('42-', id)''', 'use')} as u, {Ansi.draw('''concat('42-', id)''', 'plain')} as p from ({_SENTENCES}) s) "
+    f"select l.id, case when u < {_USE} and full_sequence is not null then full_sequence when u >= {_USE} and p < {_PLAIN} then {plain_sql('line')} else line end as text, u < {_USE} and full_sequence is not null as is_prompt from l left join t on l.id = t.id"
+)
+def training_texts(spark, sf_dir):
+    """What each line is trained on: a correction prompt, the plain line, or the line."""
+    c = corpus(spark, sf_dir).select(F.concat_ws("-", "doc_id", "line_no", "source").alias("id"), "line")
+    return sequence.training_text(c, corrupt.correction_samples(c, "id"), "id")
