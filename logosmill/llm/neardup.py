@@ -272,8 +272,9 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
     return met.distinct().mapInArrow(expand, "a bigint, b bigint").distinct()  # blocks of several bands may hold the same pair
 
 
-def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR) -> DataFrame:
-    """(a, b, shared, similarity) of the candidates whose shared words are at least ``bar`` of the words of both (all shingles weigh the same)."""
+def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR, sampler: Sampler | None = None) -> DataFrame:
+    """(a, b, shared, similarity) of the candidates whose weighted Jaccard similarity is at least ``bar``: the weight of shared
+    shingles over the weight of all. Without ``sampler`` every shingle weighs 1, with it as much as in the sampling."""
     w = reps.select("rep", "words")
     both = cands.join(w.select(F.col("rep").alias("a"), F.col("words").alias("wa")), "a").join(w.select(F.col("rep").alias("b"), F.col("words").alias("wb")), "b").select("a", "b", "wa", "wb")
 
@@ -284,25 +285,31 @@ def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR) -> DataFrame:
             n = batch.num_rows
             row = np.concatenate([np.repeat(np.arange(n), np.diff(xo)), np.repeat(np.arange(n), np.diff(yo))]).astype(np.int64)
             key = np.sort((row << 32) | np.concatenate([x, y]).astype(np.int64))
-            shared = np.bincount(key[1:][key[1:] == key[:-1]] >> 32, minlength=n)
-            total = np.diff(xo) + np.diff(yo) - shared
-            ok = np.flatnonzero(shared >= bar * total - 1e-9)
+            both = key[1:][key[1:] == key[:-1]]
+            shared = np.bincount(both >> 32, minlength=n)
+            if sampler is None:
+                common, total = shared, np.diff(xo) + np.diff(yo) - shared
+            else:
+                weight = lambda k: np.bincount(k >> 32, sampler.weights((k & 0xFFFFFFFF).astype(np.uint32)), minlength=n)
+                common = weight(both)
+                total = weight(key) - common
+            ok = np.flatnonzero(common >= bar * total - 1e-9)
             take = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(shared[ok].astype(np.int32)), pa.array(shared[ok] / total[ok])], ["a", "b", "shared", "similarity"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(shared[ok].astype(np.int32)), pa.array(common[ok] / total[ok])], ["a", "b", "shared", "similarity"])
 
     return both.mapInArrow(run, "a bigint, b bigint, shared int, similarity double")
 
 
-def alike_classes(df: DataFrame, id_col: str = "rec_id", bar: float = BAR, least: int = LEAST, **sampling) -> tuple[DataFrame, DataFrame]:
+def alike_classes(df: DataFrame, id_col: str = "rec_id", bar: float = BAR, least: int = LEAST, weighted: bool = False, **sampling) -> tuple[DataFrame, DataFrame]:
     """Links between classes of equal word sets (a, b, shared, similarity), and (rep, id) of every record with ``least`` words.
 
-    ``df``: id and text columns; others are ignored. Null, empty and short
+    The bar is on the share of equal words, or with ``weighted`` of their idf weight (sizes and bitmaps then prune nothing). ``df``: id and text columns; others are ignored. Null, empty and short
     texts are alike to none and have no row. Redelivered rows count once.
     """
     rows = df.select(id_col, "text")
     reps = written(classes(word_table(rows, [id_col], least)), "neardup-reps")
     sampler = Sampler(*frequent_shingles(reps), **sampling)
-    links = verified(candidates(reps, sampler, bar), reps, bar)
+    links = verified(candidates(reps, sampler, 0.0 if weighted else bar), reps, bar, sampler if weighted else None)
     return links, members(word_table(rows, [id_col], least, with_words=False), reps)
 
 

@@ -52,6 +52,27 @@ def test_near_duplicates(spark):
     assert neardup.alike_pairs(*neardup.alike_classes(empty)).count() == 0
 
 
+def test_weighted_links(spark):
+    rows = texts(300, 5)
+    df = frame(spark, rows)
+    links = neardup.alike_classes(df, weighted=True, bands=40)[0].collect()
+    s = {i: frozenset(words_of(t)) for i, t, _ in rows}
+    s = {i: w for i, w in s.items() if len(w) >= 10}
+    distinct = set(s.values())
+    n = {w: sum(w in x for x in distinct) for w in set().union(*distinct)}
+    weight = {w: np.log1p(1 / max(c / len(distinct), neardup.FLOOR)) for w, c in n.items()}
+    total = lambda ws: sum(weight[w] for w in ws)
+    for r in links:
+        j = total(s[r.a] & s[r.b]) / total(s[r.a] | s[r.b])
+        assert j >= 0.7 - 1e-6 and abs(j - r.similarity) < 1e-6
+    reps = {}
+    for i in sorted(s):
+        reps.setdefault(s[i], i)
+    ids = sorted(reps.values())
+    want = sum(total(s[a] & s[b]) >= 0.7 * total(s[a] | s[b]) for x, a in enumerate(ids) for b in ids[x + 1 :])
+    assert want > 20 and len(links) >= 0.97 * want
+
+
 @pytest.mark.parametrize("entries", [10**6, 150])
 def test_hot_copies_and_large_buckets(spark, monkeypatch, entries):
     monkeypatch.setattr(neardup, "BLOCK", 8)
