@@ -19,31 +19,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def source_lines(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Raw lines of one source; redelivered rows once."""
+def source_lines(spark: SparkSession, sf_dir: str, source: str, once: bool = True) -> DataFrame:
+    """Raw lines of one source. With ``once`` redelivered rows count once, which shuffles the texts; what removes copies
+    of lines or words later leaves that out."""
+
+    def rows(name: str, *columns: str) -> DataFrame:
+        d = table(spark, sf_dir, name)
+        d = (d.where("source = 'local_txt'") if name == "documents" else d).select(*columns)
+        return d.distinct() if once else d
+
     if source == "local":
-        d = table(spark, sf_dir, "documents").where("source = 'local_txt'").select("doc_id", "text").distinct()
-        return split_lines(d, "doc_id", F.col("text"), source, 1)
+        return split_lines(rows("documents", "doc_id", "text"), "doc_id", F.col("text"), source, 1)
     if source == "encyclopedia":
-        d = table(spark, sf_dir, "wiki_articles").select("rec_id", "text").distinct()
-        return split_lines(d, "rec_id", F.col("text"), source, 4)
+        return split_lines(rows("wiki_articles", "rec_id", "text"), "rec_id", F.col("text"), source, 4)
     name = {"conversation": "conv_sentences", "literature": "lit_sentences"}[source]
-    return sentence_pairs(table(spark, sf_dir, name).select("rec_id", "translation").distinct(), "rec_id", source, SOURCES[source])
+    return sentence_pairs(rows(name, "rec_id", "translation"), "rec_id", source, SOURCES[source])
 
 
-def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def all_lines(spark: SparkSession, sf_dir: str, once: bool = True) -> DataFrame:
     out = None
     for s in SOURCES:
-        part = source_lines(spark, sf_dir, s)
+        part = source_lines(spark, sf_dir, s, once)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, once: bool = True) -> DataFrame:
     """Plain corpus of the audits: stripped, non-blank lines of all sources, blanks collapsed."""
     from ..functions.text import strip
 
-    rows = all_lines(spark, sf_dir).select(*ORDER, "source", strip(F.regexp_replace("line", f"{X.W}+", " ")).alias("line"))
+    rows = all_lines(spark, sf_dir, once).select(*ORDER, "source", strip(F.regexp_replace("line", f"{X.W}+", " ")).alias("line"))
     return rows.where("line <> ''")
 
 

@@ -42,7 +42,7 @@ def rnd(c: str) -> str:
 )
 def greek_lines_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct Greek lines of fitting length by source."""
-    c = corpus(spark, sf_dir)
+    c = corpus(spark, sf_dir, once=False)
     n = T.letters(F.col("line"))
     kept = c.where(F.size(T.words(F.col("line"))).between(3, 40) & (n > 0) & (100 * T.greek_letters(F.col("line")) >= 85 * n))
     return kept.select("source", "line").distinct().groupBy("source").agg(F.count("*").alias("lines"))
@@ -182,7 +182,7 @@ def _first(rel: str) -> str:
 
 @query(f"select source, doc_id, line_no, hash from ({_first(_KEPT)}) z")
 def exact_dedup(spark, sf_dir):
-    return dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir)), ORDER).select("source", "doc_id", "line_no", "hash")
+    return dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir, once=False)), ORDER).select("source", "doc_id", "line_no", "hash")
 
 
 def _priority_sql() -> str:
@@ -197,7 +197,7 @@ def _priority_sql() -> str:
 
 
 def _deduped(spark, sf_dir):
-    return dedup.priority_dedup([(clean.cleaned(source_lines(spark, sf_dir, s)), CAPS[s]) for s in SOURCES], ORDER)
+    return dedup.priority_dedup([(clean.cleaned(source_lines(spark, sf_dir, s, once=False)), CAPS[s]) for s in SOURCES], ORDER)
 
 
 @query(_priority_sql())
@@ -214,7 +214,7 @@ _SPLIT = (
 
 
 def _split(spark, sf_dir):
-    return split.split_lines(dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir)), ORDER))
+    return split.split_lines(dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir, once=False)), ORDER))
 
 
 @query(_SPLIT + "select source, doc_id, line_no, hash, rank, split from s")
@@ -347,14 +347,14 @@ _TOY_SQL = f"select unnest([{', '.join(q(p) for p in _TOY)}]) as piece"
 )
 def piece_composition(spark, sf_dir):
     """Classes of a small literal vocabulary against the words of the corpus."""
-    return vocab.piece_composition(spark.createDataFrame([(p,) for p in _TOY], "piece string"), corpus(spark, sf_dir))
+    return vocab.piece_composition(spark.createDataFrame([(p,) for p in _TOY], "piece string"), corpus(spark, sf_dir, once=False))
 
 
 # Typing errors
 
 
 def _first_words(spark, sf_dir):
-    return corpus(spark, sf_dir).select(F.explode(T.words(F.col("line"))).alias("w")).select(T.strip_edges(F.col("w")).alias("word")).where("word <> ''").distinct()
+    return corpus(spark, sf_dir, once=False).select(F.explode(T.words(F.col("line"))).alias("w")).select(T.strip_edges(F.col("w")).alias("word")).where("word <> ''").distinct()
 
 
 _DISTINCT = f"select distinct e as word from ({_EDGED}) b"
