@@ -57,11 +57,20 @@ def has_accents(c: Column) -> Column:
 def syllables(c: Column) -> Column:
     """Vowel groups; a pair counts once unless its second vowel bears the mark; words of X.MONOSYLLABLES have one."""
     low = F.lower(c)
-    return F.when(low.isin(X.MONOSYLLABLES), 1).otherwise(F.regexp_count(F.regexp_replace(low, X.DIGRAPHS, "α"), F.lit(f"[{X.VOWELS}]")))
+    return F.when(low.isin(X.MONOSYLLABLES), 1).otherwise(count(F.regexp_replace(low, X.DIGRAPHS, "α"), f"[{X.VOWELS}]"))
 
 
-def count(c: Column, pattern: str) -> Column:
-    return F.regexp_count(c, F.lit(pattern))
+def count(c: Column, char_class: str) -> Column:
+    """How many characters are of a class: what goes when its runs are removed (one match a run, not a character)."""
+    return (F.length(c) - F.length(F.regexp_replace(c, f"{char_class}+", ""))).cast("int")
+
+
+def when_has(c: Column, needles: tuple[str, ...], then: Column) -> Column:
+    """``then`` where one of the needles stands in c, else c: plain search is far cheaper than a pattern. c should be a plain column."""
+    hit = F.lit(False)
+    for n in needles:
+        hit = hit | c.contains(n)
+    return F.when(hit, then).otherwise(c)
 
 
 def greek_letters(c: Column) -> Column:

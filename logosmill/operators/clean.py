@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
-from ..functions.text import count, greek_letters, letters, repair_word, strip, strip_edges, unescape, unescape_all, words
+from ..functions.text import count, greek_letters, letters, repair_word, strip, strip_edges, unescape, unescape_all, when_has
 
 WORDCH = r"[\p{L}\p{N}_]"
 #: An address starts and ends at a word boundary in the Unicode sense.
@@ -40,17 +42,37 @@ def normalise_ellipsis(c: Column) -> Column:
     return F.regexp_replace(c, rf"{X.W}+\.\.\.", "...")
 
 
+#: A blank that is no plain space, or several blanks.
+UNEVEN = rf"{X.W}{{2,}}|[{X.W[1:-1]}&&[^ ]]"
+
+
 def tidy_spacing(c: Column) -> Column:
     """No blank before punctuation, no dangling punctuation at the end, runs of blanks as one."""
     c = F.regexp_replace(c, rf"{X.W}+([.,;:!?])", "$1")
     c = strip(F.regexp_replace(c, rf"(?:[,:\-–—]|{X.W})+\z", ""))
-    return strip(F.regexp_replace(c, f"{X.W}+", " "))
+    return strip(F.regexp_replace(c, UNEVEN, " "))
 
 
 def any_case(pattern: str) -> str:
     return f"(?iu)(?:{pattern})"
 
 
+def fold_case(c: Column) -> Column:
+    """Lower case, the final sigma as any other: equal under it means equal whatever the case."""
+    return F.translate(F.lower(c), "ς", "σ")
+
+
+def holds(c: Column, alternatives: str) -> Column:
+    """Whether a case-folded column holds one of the alternatives: literal ones by plain search, the rest by one pattern."""
+    parts = [x.lower().replace("ς", "σ") if re.escape(x).replace("\\ ", " ") == x else x for x in alternatives.split("|")]
+    plain = [x for x, y in zip(parts, alternatives.split("|")) if re.escape(y).replace("\\ ", " ") == y]
+    rest = [x.replace("ς", "σ") for x, y in zip(parts, alternatives.split("|")) if re.escape(y).replace("\\ ", " ") != y]
+    hit = c.rlike("|".join(rest)) if rest else F.lit(False)
+    for x in plain:
+        hit = c.contains(x) | hit
+    return hit
+
+
 def density_checks(line: Column, ws: Column) -> list[tuple[str, Column]]:
     n = F.size(ws)
     alpha = letters(line)
@@ -63,6 +85,23 @@ def density_checks(line: Column, ws: Column) -> list[tuple[str, Column]]:
     ]
 
 
+def _stages(full_entities: bool) -> list[tuple[str, str, callable]]:
+    """(new column, column it comes from, function): each stage is a projection of its own, so nothing is computed twice."""
+    return [
+        ("_1", "raw", lambda c: when_has(c, ("&",), (unescape_all if full_entities else unescape)(c))),
+        ("_2", "_1", normalise_symbols),
+        ("_3", "_2", lambda c: when_has(c, ("http", "www."), F.regexp_replace(c, X.URL, ""))),
+        ("_4", "_3", lambda c: when_has(c, ("@",), F.regexp_replace(c, EMAIL, ""))),
+        ("_a", "_4", lambda c: when_has(c, ("-->",), strip_cues(c))),
+        ("_l", "_a", fold_case),
+        ("_5", "_a", lambda c: when_has(c, ("[", "(", "<", "{", "♪", "♫"), F.regexp_replace(c, X.BRACKETED, ""))),
+        ("_b", "_5", lambda c: normalise_punctuation(F.regexp_replace(F.regexp_replace(c, X.SPEAKER, ""), X.NUMBERING, ""))),
+        ("_6", "_b", lambda c: when_has(c, ("..", "…"), normalise_ellipsis(c))),
+        ("_c", "_6", tidy_spacing),
+        ("_w0", "_c", lambda c: F.filter(F.split(c, " "), lambda w: w != "")),
+    ]
+
+
 def cascade(df: DataFrame, line_col: str = "line", full_entities: bool = False) -> DataFrame:
     """``raw`` (the line as it came), ``clean`` (null if dropped) and ``drop_reason`` (null if kept) beside the other columns.
 
@@ -71,29 +110,31 @@ def cascade(df: DataFrame, line_col: str = "line", full_entities: bool = False)
     it is not pushed down, where it would repeat the whole chain.
     """
     rest = [c for c in df.columns if c != line_col]
-    first = (unescape_all if full_entities else unescape)(F.col(line_col))
-    a = df.select(*rest, F.col(line_col).alias("raw"), strip_cues(strip_links(normalise_symbols(first))).alias("_a"))
-    b = a.select(*rest, "raw", "_a", normalise_punctuation(strip_marks(F.col("_a"))).alias("_b"))
-    c = b.select(*rest, "raw", "_a", "_b", tidy_spacing(normalise_ellipsis(F.col("_b"))).alias("_c"))
-    d = c.select(*rest, "raw", "_a", "_b", "_c", F.transform(words(F.col("_c")), repair_word).alias("_w"))
-    e = d.select(*rest, "raw", "_a", "_b", "_c", "_w", F.array_join("_w", " ").alias("_d"))
+    have = [*rest, "raw"]
+    rows = df.select(*rest, F.col(line_col).alias("raw"))
+    for new, old, f in _stages(full_entities):
+        rows = rows.select(*have, f(F.col(old)).alias(new))
+        have.append(new)
+    latin = F.col("_c").rlike("[A-Za-z]")  # words without Latin letters need no repair
+    rows = rows.select(*have, F.when(latin, F.transform("_w0", repair_word)).otherwise(F.col("_w0")).alias("_w"))
+    rows = rows.select(*have, "_w", F.array_join("_w", " ").alias("_d"))
     checks = [
         ("empty", F.col("raw").isNull() | (F.col("raw") == "")),
         ("digits_only", strip(F.col("_a")).rlike(r"\A\p{Nd}+\z")),
-        ("credits", F.col("_a").rlike(any_case(X.CREDITS))),
-        ("boilerplate", F.col("_a").rlike(any_case(X.BOILERPLATE))),
+        ("credits", holds(F.col("_l"), X.CREDITS)),
+        ("boilerplate", holds(F.col("_l"), X.BOILERPLATE)),
         ("almanac", F.col("_a").rlike(any_case(X.ALMANAC))),
-        ("navigation", F.col("_a").rlike(any_case(X.NAVIGATION))),
+        ("navigation", holds(F.col("_l"), X.NAVIGATION)),
         ("calendar", F.col("_b").rlike(any_case(X.CALENDAR))),
         ("empty_after", F.col("_c") == ""),
         ("repeated_char", F.col("_c").rlike(r"([^\n])\1{3,}")),
-        ("mixed_script", F.exists("_w", lambda w: strip_edges(w).rlike(X.MIXED))),
+        ("mixed_script", F.col("_d").rlike("[A-Za-z]") & F.exists("_w", lambda w: strip_edges(w).rlike(X.MIXED))),
         *density_checks(F.col("_d"), F.col("_w")),
     ]
     reason = F.lit(None).cast("string")
     for name, hit in reversed(checks):
         reason = F.when(hit, F.lit(name)).otherwise(reason)
-    f = e.select(*rest, "raw", "_d", reason.alias("_r"))
+    f = rows.select(*rest, "raw", "_d", reason.alias("_r"))
     out = f.select(*rest, F.explode(F.array(F.struct("raw", F.when(F.col("_r").isNull(), F.col("_d")).alias("clean"), F.col("_r").alias("drop_reason")))).alias("_o"))
     return out.select(*rest, "_o.raw", "_o.clean", "_o.drop_reason")
 

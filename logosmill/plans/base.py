@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(d: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores is dealt out evenly; a larger one stays as it is."""
+    cores = d.sparkSession.sparkContext.defaultParallelism
+    return d if d._jdf.queryExecution().toRdd().getNumPartitions() >= cores else d.repartition(cores)
+
+
 def source_lines(spark: SparkSession, sf_dir: str, source: str, once: bool = True) -> DataFrame:
     """Raw lines of one source. With ``once`` redelivered rows count once, which shuffles the texts; what removes copies
     of lines or words later leaves that out."""
@@ -26,7 +32,7 @@ def source_lines(spark: SparkSession, sf_dir: str, source: str, once: bool = Tru
     def rows(name: str, *columns: str) -> DataFrame:
         d = table(spark, sf_dir, name)
         d = (d.where("source = 'local_txt'") if name == "documents" else d).select(*columns)
-        return d.distinct() if once else d
+        return d.distinct() if once else spread(d)
 
     if source == "local":
         return split_lines(rows("documents", "doc_id", "text"), "doc_id", F.col("text"), source, 1)
