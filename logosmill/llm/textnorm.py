@@ -326,6 +326,20 @@ class CharBatch:
         return [text[a:b] for a, b in zip(self.start.tolist(), self.end.tolist())]
 
 
+def consistent_all(texts: list[str] | pa.Array) -> list[str]:
+    """The consistent forms of many texts; only suspicious ones take the slow way."""
+    arr = to_string_array(texts if isinstance(texts, (pa.Array, pa.ChunkedArray)) else pa.array(texts, pa.large_string()))
+    out: list[str] = []
+    for a, b in slices(arr):
+        part = arr.slice(a, b - a)
+        todo = CharBatch(part, resolve=False).suspicious()
+        rows = part.to_pylist()
+        for i in np.flatnonzero(todo).tolist():
+            rows[i] = consistent(rows[i])
+        out += rows
+    return out
+
+
 def row_offsets(rows: np.ndarray, n: int) -> np.ndarray:
     """Offsets (n + 1) of sorted row numbers."""
     return np.searchsorted(rows, np.arange(n + 1))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import hash_sample
-from .textnorm import consistent, fold_char, to_string_array
+from .textnorm import consistent_all, fold_char
 
 DIM = 1 << 13
 TAIL = 1200
@@ -122,19 +122,21 @@ class TruncationModel:
     def __init__(self, rows: list[tuple[str | None, str, int, int]], limits: dict, common: set[str], seed: int = 7, rounds: int = 60):
         self.limits, self.common = limits, common
         rng = np.random.default_rng(seed)
-        xs, ys = [], []
+        texts, nears, ys = [], [], []
         for source, tail, chars, size in rows:
             near = near_limit(source, chars, size, limits)
             if near == "no" and not BROKEN.search(tail.rstrip()):
-                xs.append(hashed(features(consistent(tail), "no", common)))
+                texts.append(tail)
+                nears.append("no")
                 ys.append(0)
             cut = _cuts(tail, rng)
             if FINISHED.search(cut.rstrip()):  # a cut after a finished sentence can't be told, and counts as whole
                 continue
             lc, lb = limits.get(source, ((), ()))
-            at = "chars" if len(lc) and rng.random() < 0.5 else "bytes" if len(lb) and rng.random() < 0.5 else "no"
-            xs.append(hashed(features(consistent(cut), at, common)))
+            texts.append(cut)
+            nears.append("chars" if len(lc) and rng.random() < 0.5 else "bytes" if len(lb) and rng.random() < 0.5 else "no")
             ys.append(1)
+        xs = [hashed(features(t, near, common)) for t, near in zip(consistent_all(texts), nears)]
         self.weights = np.zeros(DIM + 1)
         if not xs:
             return
@@ -154,10 +156,10 @@ class TruncationModel:
         self.held_out = float(((p > 0.5) == (y[hold] == 1)).mean()) if hold.any() else float("nan")
 
     def score(self, source, tail: str, chars: int, size: int) -> float:
-        e = consistent(tail)
-        if not e.strip():
+        """``tail`` in the consistent form."""
+        if not tail.strip():
             return 0.0
-        x = hashed(features(e, near_limit(source, chars, size, self.limits), self.common))
+        x = hashed(features(tail, near_limit(source, chars, size, self.limits), self.common))
         return float(1 / (1 + np.exp(-(self.weights[x].sum() + self.weights[DIM]))))
 
 
@@ -184,7 +186,7 @@ def score_truncation(df: DataFrame, model: TruncationModel, id_col: str = "doc_i
 
     def run(batches):
         for batch in batches:
-            tails = to_string_array(batch.column(2)).to_pylist()
+            tails = consistent_all(batch.column(2))
             sources, chars, size = batch.column(1).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist()
             score = np.array([model.score(s, t, c or 0, b or 0) for s, t, c, b in zip(sources, tails, chars, size)])
             if cut_only:
