@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +29,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a context, so that they need no installed copy."""
+    sc = spark.sparkContext
+    if getattr(sc, "_logosmill_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    place = tempfile.mkdtemp(prefix="logosmill-zip-")
+    atexit.register(shutil.rmtree, place, True)
+    archive = f"{place}/{root.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    sc.addPyFile(archive)
+    sc._logosmill_shipped = True

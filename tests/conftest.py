@@ -15,5 +15,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from logosmill.plans.shared import ship_package
+
+    ship_package(s)
     yield s
     s.stop()
