@@ -25,6 +25,7 @@ ACCENTED = "άέήίόύώΐΰϊϋΆΈΉΊΌΎΏΪΫ"
 PLAIN = "αεηιουωιυιυΑΕΗΙΟΥΩΙΥ"
 # Letters that carry the stress mark (no bare dieresis).
 STRESSED = "άέήίόύώΐΰΆΈΉΊΌΎΏ"
+# Vowels, and pairs of vowels that are one sound.
 VOWELS = "αειουηωάέήίόύώϊϋΐΰΑΕΙΟΥΗΩΆΈΉΊΌΎΏΪΫ"
 DIGRAPHS = "αι|ει|οι|ου|υι|αυ|ευ|άι|έι|όι"
 # Words that never take a stress mark.
@@ -33,6 +34,7 @@ MONOSYLLABLES = (
     "κι ως σαν προς στο στη στην στα στους στις μας σας"
 ).split()
 
+# Shapes of links, time cues and addresses.
 URL = rf"https?://{NOT_W}+|www\.{NOT_W}+"
 CUE = rf"\p{{Nd}}{{1,2}}:\p{{Nd}}{{2}}:\p{{Nd}}{{2}}[,\.]\p{{Nd}}{{3}}{W}*-->{W}*\p{{Nd}}{{1,2}}:\p{{Nd}}{{2}}:\p{{Nd}}{{2}}[,\.]\p{{Nd}}{{3}}"
 ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
@@ -52,16 +54,19 @@ BOILERPLATE = (
 )
 # Names of the months in the genitive.
 MONTHS = "Ιανουαρίου|Φεβρουαρίου|Μαρτίου|Απριλίου|Μαΐου|Ιουνίου|Ιουλίου|Αυγούστου|Σεπτεμβρίου|Οκτωβρίου|Νοεμβρίου|Δεκεμβρίου"
+# The start of an almanac entry.
 ALMANAC = rf"^{W}*(?:\p{{Nd}}{{1,2}}{W}+(?:{MONTHS})|\p{{Nd}}{{3,4}}){W}*[-–—:]"
 # Encyclopedia navigation phrases.
 NAVIGATION = (
     "μπορεί να αναφέρεται|δείτε επίσης|εξωτερικοί σύνδεσμοι|βιβλιογραφία|"
     "παραπομπές|σχετικά άρθρα|κύριο λήμμα|σημειώσεις και παραπομπές"
 )
+# A calendar sentence, bracketed spans and sound notes, speakers and list numbers at the start of a line.
 CALENDAR = "ημέρα του έτους κατά το (?:Γρηγοριανό|Ιουλιανό) ημερολόγιο"
 BRACKETED = r"\[[^\n]*?\]|\([^\n]*?\)|<[^\n]*?>|\{[^\n]*?\}|♪[^\n]*?♪|♫[^\n]*?♫"
 SPEAKER = rf"^{W}*(?:[-–—»>]+{W}*)?(?:(?:[Α-ΩΆΈΉΊΌΎΏΪΫA-Z0-9_]|{W}){{2,20}}:|[-–—»>]+){W}*"
 NUMBERING = rf"^{W}*(?:\p{{Nd}}{{1,2}}[.)\]]|\([0-9a-zA-Z]\)){W}+"
+# Letters whose neighbourhood with ASCII letters makes a word mixed.
 GREEK_LETTER = "α-ωάέήίόύώϊϋΐΰΑ-ΩΆΈΉΊΌΎΏΪΫ"
 MIXED = f"[{GREEK_LETTER}][a-zA-Z]|[a-zA-Z][{GREEK_LETTER}]"
 # The entities that the bounded unescape knows; the ampersand goes last.
@@ -100,4 +105,5 @@ LAYER_TENSORS = {
     "self_attn.o_proj.weight": "attn_output.weight", "mlp.gate_proj.weight": "ffn_gate.weight", "mlp.up_proj.weight": "ffn_up.weight",
     "mlp.down_proj.weight": "ffn_down.weight", "input_layernorm.weight": "attn_norm.weight", "post_attention_layernorm.weight": "ffn_norm.weight",
 }
+# Stems of parameter names without weight decay.
 UNDECAYED = "bias|layer_norm|layernorm|rms_norm"
