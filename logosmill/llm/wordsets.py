@@ -12,15 +12,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textnorm import CharBatch, binary_rows, distinct_per_row, mix64, row_offsets, slices, to_string_array
+from .textnorm import CharBatch, binary_rows, distinct_per_row, mix64, powers, row_offsets, slices, to_string_array
 
 #: Texts are alike if each has LEAST distinct words and they share BAR of all. Values of the task.
 LEAST, BAR = 10, 0.7
 
 
 def word_table(df: DataFrame, keep: list[str], least: int = LEAST, ordered: bool = False, with_words: bool = True) -> DataFrame:
-    """``keep`` columns (the first is the id), n (distinct words), k1, k2 (of the word set) and, if asked for, words:
-    the distinct word numbers in rising order, or with ``ordered`` all of them as they stand. Texts with fewer than
+    """``keep`` columns (the first is the id), n (distinct words), k1, k2 (of the word set, with ``ordered`` k2 of
+    the words as they stand) and, if asked for, words: the distinct word numbers in rising order, or with ``ordered`` all of them as they stand. Texts with fewer than
     ``least`` distinct words, null and empty ones drop out: they are alike to none."""
     rows = df.select(*keep, F.col("text").alias("_t"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
@@ -44,6 +44,12 @@ def word_table(df: DataFrame, keep: list[str], least: int = LEAST, ordered: bool
                     np.cumsum(mix64(v.view(np.uint64) + np.uint64(0xA5A5A5A5)), out=total[0, 1:])
                     np.cumsum(mix64(v.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)), out=total[1, 1:])
                     keys = (total[:, off[1:]] - total[:, off[:-1]]).view(np.int64)[:, take]
+                    if ordered:
+                        at = row_offsets(cb.word_row, b - a)
+                        power = powers(int(np.diff(at).max()))[0]
+                        ordered_sum = np.zeros(len(h) + 1, np.uint64)
+                        np.cumsum(mix64(h.view(np.uint64)) * power[np.arange(len(h)) - at[cb.word_row]], out=ordered_sum[1:])
+                        keys[1] = (ordered_sum[at[1:]] - ordered_sum[at[:-1]]).view(np.int64)[take]
                 cols = [batch.column(i).slice(a, b - a).take(pa.array(take)) for i in range(len(keep))]
                 cols += [pa.array(n[take].astype(np.int32)), pa.array(keys[0]), pa.array(keys[1])]
                 if with_words:

@@ -135,6 +135,34 @@ def test_split_overlaps(spark, shard_words):
     assert empty.count() == 0
 
 
+def brute_matches(x, y):
+    """Spans, words covered and longest match of two words or more."""
+    inside, longest = set(), 0
+    for i in range(len(x)):
+        for j in range(len(y)):
+            k = 0
+            while i + k < len(x) and j + k < len(y) and x[i + k] == y[j + k]:
+                k += 1
+            if k > 1:
+                inside |= set(range(i, i + k))
+                longest = max(longest, k)
+    return sum(i - 1 not in inside for i in inside), len(inside), longest
+
+
+@pytest.mark.parametrize("shard_words", [10**6, 900])
+def test_spans_of_each_pair(spark, shard_words):
+    base = [f"λέξη{i}" for i in range(20)]
+    near = [*base[:9], "άλλη", *base[10:]]
+    last = [*base[10:], *base[:10]]  # the same set of words in another order
+    made = [(5000, base, "train"), (5001, base, "val"), (5002, near, "test"), (5003, last, "test"), (5004, near[::-1], "val"), (5005, last, "train"), (5006, base + base[:5], "val")]
+    rows = texts(400, 2) + [(i, " ".join(w), s) for i, w, s in made]
+    words = {i: words_of(t) for i, t, _ in rows}
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(frame(spark, rows), shard_words=shard_words)).collect()
+    assert len(pairs) > 50 and {(r.train_id, r.eval_id) for r in pairs} >= {(5000, 5001), (5000, 5002), (5000, 5003), (5000, 5004), (5005, 5001), (5005, 5003)}
+    for r in pairs:
+        assert (r.spans, r.covered, r.longest) == brute_matches(words[r.train_id], words[r.eval_id]), (r.train_id, r.eval_id)
+
+
 def test_fm_index():
     rng = np.random.default_rng(3)
     recs = [rng.integers(0, 6, rng.integers(1, 30)).astype(np.uint32) for _ in range(40)]
