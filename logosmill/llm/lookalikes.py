@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata as ud
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textnorm import C, G, L, WORD, CharBatch, consistent, script_of, slices, to_string_array, whole_script_confusable
+from .textnorm import C, G, L, SWAP, WORD, CharBatch, consistent, script_of, slices, tables, to_string_array, whole_script_confusable
+
+
+@functools.lru_cache(maxsize=100_000)
+def _confusable(word: str) -> bool:
+    return whole_script_confusable(word)
 
 
 def _counts(raw: str) -> tuple[int, int]:
@@ -16,17 +24,40 @@ def _counts(raw: str) -> tuple[int, int]:
         sets = {s for ch in m[0] if (s := script_of(ch))}
         if len(sets) > 1:
             mixed += 1
-        elif sets and sets <= {G, L, C} and whole_script_confusable(m[0]):
+        elif sets and sets <= {G, L, C} and _confusable(m[0]):
             whole += 1
     return mixed, whole
 
 
+@functools.lru_cache(maxsize=1)
+def _twins() -> np.ndarray:
+    """For each character of the basic plane the scripts, besides its own, that have a look-alike for all letters in it; all scripts, if it has no letter."""
+    script = tables()["script"]
+    out = np.full(65537, G | L | C, np.uint8)
+    for o in np.flatnonzero(script).tolist():
+        parts = [(ch, s) for ch in ud.normalize("NFD", chr(o)) if (s := script_of(ch))]
+        out[o] = sum(to for to in (G, L, C) if all(s != to and ch in SWAP[s, to] for ch, s in parts))
+    return out
+
+
+def whole_script_counts(cb: CharBatch) -> np.ndarray:
+    """Words wholly of look-alikes in each row. ``cb`` as delivered; right for rows that are not suspicious."""
+    n = len(cb.rows) - 1
+    if not len(cb.start):
+        return np.zeros(n, np.int32)
+    ends = np.stack([cb.start, cb.end], 1).ravel()
+    scripts = np.bitwise_or.reduceat(np.append(tables()["script"][cb.low], 0), ends)[::2]
+    twins = np.bitwise_and.reduceat(np.append(_twins()[cb.low], 0), ends)[::2]
+    hit = (scripts != 0) & (scripts & (scripts - 1) == 0) & (twins != 0) & (cb.end - cb.start > 1)
+    return np.bincount(cb.word_row[hit], minlength=n).astype(np.int32)
+
+
 def normalize_lookalikes(df: DataFrame, id_col: str = "rec_id", text_col: str = "text", changed_only: bool = False) -> DataFrame:
     """Each text in its consistent form.
 
     Columns: id, ``consistent_text``, ``changed``, ``mixed_words`` (words whose
     letters share no script) and ``whole_script_words`` (words that would look
-    the same in another script; counted for changed rows, never altered).
+    the same in another script; counted in every row, never altered).
     Null text gives a null form and ``changed`` false; an empty text stays
     empty. Rows are not deduplicated, other columns are ignored.
     ``changed_only`` returns the ids alone of changed rows.
@@ -50,10 +81,10 @@ def normalize_lookalikes(df: DataFrame, id_col: str = "rec_id", text_col: str =
                 if changed_only:
                     yield pa.RecordBatch.from_arrays([ids.slice(a, b - a).take(pa.array(rows_hit))], ["k"])
                     continue
-                changed, mixed, whole = np.zeros(b - a, bool), np.zeros(b - a, np.int32), np.zeros(b - a, np.int32)
+                changed, mixed, whole = np.zeros(b - a, bool), np.zeros(b - a, np.int32), whole_script_counts(cb)
                 changed[rows_hit] = True
-                for i, r in zip(hit, rows_hit):
-                    mixed[r], whole[r] = _counts(raw[i])
+                for x, r in zip(raw, todo):
+                    mixed[r], whole[r] = _counts(x)
                 mask = np.zeros(b - a, bool)
                 mask[todo] = True
                 out = pa.compute.replace_with_mask(part, pa.array(mask), pa.array(new, pa.large_string())).cast(pa.string())

@@ -71,6 +71,22 @@ def test_operator_nulls_and_clashes(spark):
     assert N.whole_script_confusable("KAI") and not N.whole_script_confusable("ψ")
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("αβκάΚΑΙςξKAIaoevpxsßéñАВсоежї ,.09")), max_size=30), max_size=8))
+def test_whole_script_counts_equal_plain(texts):
+    cb = N.CharBatch(N.to_string_array(pa.array(texts, pa.string())), resolve=False)
+    got = lookalikes.whole_script_counts(cb)
+    assert [(g, 0) for g, d in zip(got.tolist(), cb.suspicious()) if not d] == [lookalikes._counts(t)[::-1] for t, d in zip(texts, cb.suspicious()) if not d]
+
+
+def test_whole_script_words_in_every_row(spark):
+    rows = [(1, "Πήγα KAI γύρισα."), (2, "Πήγα και γύρισα."), (3, "Πήγα KAI vα έρθω TO BIBAIO."), (4, None), (5, "Он KAI τώρα KAI 12"), (6, "WiFiκd KAI")]
+    got = {r.rec_id: r for r in lookalikes.normalize_lookalikes(spark.createDataFrame(rows, "rec_id bigint, text string")).collect()}
+    assert [got[i].whole_script_words for i in (1, 2, 3, 4, 5)] == [1, 1, 3, 0, 3]
+    assert [got[i].changed for i in (1, 2, 3, 4, 5)] == [False, False, True, False, False] and got[1].consistent_text == rows[0][1]
+    assert (got[6].mixed_words, got[6].whole_script_words) == (1, 1)
+
+
 def test_long_text(spark):
     long = "λέξη vα " * 60_000
     df = spark.createDataFrame([(1, long)], "rec_id bigint, text string")
