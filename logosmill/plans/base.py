@@ -10,8 +10,8 @@ from ..sources.readers import sentence_pairs, split_lines
 
 #: Sources of lines and their priority.
 SOURCES = {"local": 1, "conversation": 2, "literature": 3, "encyclopedia": 4}
-#: Caps of the priority queries, small enough to bind on the smallest tables.
-CAPS = {"local": None, "conversation": 1500, "literature": 400, "encyclopedia": 800}
+#: Caps of the priority queries: the defaults of the reference.
+CAPS = {"local": None, "conversation": 200_000, "literature": 30_000, "encyclopedia": 70_000}
 ORDER = ["priority", "doc_id", "line_no"]
 
 

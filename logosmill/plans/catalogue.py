@@ -185,24 +185,24 @@ def exact_dedup(spark, sf_dir):
     return dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir, once=False)), ORDER).select("source", "doc_id", "line_no", "hash")
 
 
-def _priority_sql() -> str:
+def _priority_sql(caps: dict[str, int | None] = CAPS) -> str:
     parts, seen = [f"with kept as ({_KEPT})"], []
-    for s, cap in CAPS.items():
+    for s, cap in caps.items():
         not_seen = "".join(f" and hash not in (select hash from d_{x})" for x in seen)
         first = f"select *, row_number() over (partition by hash order by priority, doc_id, line_no) as rn from kept where source = '{s}'{not_seen}"
         limit = f" order by priority, doc_id, line_no limit {cap}" if cap else ""
         parts.append(f"d_{s} as (select source, doc_id, line_no, hash, priority from ({first}) a where rn = 1{limit})")
         seen.append(s)
-    return ", ".join(parts) + " " + " union all ".join(f"select source, doc_id, line_no, hash from d_{s}" for s in CAPS)
+    return ", ".join(parts) + " " + " union all ".join(f"select source, doc_id, line_no, hash from d_{s}" for s in caps)
 
 
-def _deduped(spark, sf_dir):
-    return dedup.priority_dedup([(clean.cleaned(source_lines(spark, sf_dir, s, once=False)), CAPS[s]) for s in SOURCES], ORDER)
+def _deduped(spark, sf_dir, caps: dict[str, int | None] = CAPS):
+    return dedup.priority_dedup([(clean.cleaned(source_lines(spark, sf_dir, s, once=False)), caps[s]) for s in SOURCES], ORDER)
 
 
 @query(_priority_sql())
 def priority_capped_dedup(spark, sf_dir):
-    """Sources in order of priority, with caps that bind."""
+    """Sources in order of priority, with the caps of the reference."""
     return _deduped(spark, sf_dir).select("source", "doc_id", "line_no", "hash")
 
 

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from logosmill.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -35,5 +36,24 @@ def test_query_equals_sql(spark, con, name):
     assert rows(ours) == rows(sql)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_priority_caps(spark, con, small):
+    """Small caps bind and agree with the SQL; those of the registered query drop no line of these tables."""
+    caps = {"local": None, "conversation": 60, "literature": 20, "encyclopedia": 40} if small else {s: None for s in catalogue.SOURCES}
+    got = catalogue._deduped(spark, SF, caps).select("source", "doc_id", "line_no", "hash").toPandas()
+    assert rows(got) == rows(con.execute(catalogue._priority_sql(caps)).df())
+    if small:
+        assert {s: (got["source"] == s).sum() for s, c in caps.items() if c} == {s: c for s, c in caps.items() if c}
+    else:
+        assert rows(entry.queries()["priority_capped_dedup"](spark, SF).toPandas()) == rows(got)
+
+
+def test_registered_caps_are_the_references(spark):
+    sf = SF.replace("sf0.001", "sf0.01")
+    assert catalogue.CAPS == {"local": None, "conversation": 200_000, "literature": 30_000, "encyclopedia": 70_000}
+    got = {r["source"]: r["count"] for r in entry.queries()["priority_capped_dedup"](spark, sf).groupBy("source").count().collect()}
+    assert got["conversation"] > 1500
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
