@@ -441,6 +441,13 @@ def sequence_pack(spark, sf_dir):
     return _texts(sequence.pack_sequences(rows))
 
 
+@query(_packed_sql(f"select concat(source, '-', cast(doc_id as varchar), '-', cast(line_no as varchar)) as id, list_slice(list_concat([1], {_IDS.format(w=words_sql('line'))}, [2]), 1, 256) as x, 0 as p from ({LINES_SQL}) l"))
+def sequence_pack_lines(spark, sf_dir):
+    """Training sequences of every line of all sources."""
+    rows = all_lines(spark, sf_dir).select(F.concat_ws("-", "source", F.col("doc_id").cast("string"), F.col("line_no").cast("string")).alias("id"), sequence.toy_ids(T.words(F.col("line"))).alias("ids"))
+    return _texts(sequence.pack_sequences(rows))
+
+
 _SAMPLE_IDS = f"list_concat({_IDS.format(w=words_sql('''coalesce(context, '')'''))}, [4], {_IDS.format(w=words_sql('corrupted_word'))}, [5], {_IDS.format(w=words_sql('target_word'))}, [6])"
 
 

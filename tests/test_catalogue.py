@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from logosmill.plans import catalogue
@@ -55,5 +56,10 @@ def test_registered_caps_are_the_references(spark):
     assert got["conversation"] > 1500
 
 
+def test_sequences_of_every_line(spark, con):
+    got = {r["s"]: r["n"] for r in entry.queries()["sequence_pack_lines"](spark, SF).selectExpr("split(id, '-')[0] as s").groupBy("s").agg(F.count("*").alias("n")).collect()}
+    assert got == dict(con.execute(f"select source, count(*) from ({catalogue.LINES_SQL}) l group by source").fetchall()) and set(got) == set(catalogue.SOURCES)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
