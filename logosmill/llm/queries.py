@@ -26,7 +26,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per evaluation split and source table of the evaluation record: overlapping pairs, evaluation records concerned, and how much maximal matches cover."""
     rows = records(spark, sf_dir)
-    pairs = overlap.overlap_pairs(*overlap.split_overlaps(rows)).select("train_id", "eval_id", "similarity", "covered", "spans").distinct()
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(rows, with_spans=True)).select("train_id", "eval_id", "similarity", "covered", "spans").distinct()
     where = rows.where("split_name in ('val', 'test')").select(F.col("rec_id").alias("eval_id"), "split_name", "source_name").distinct()
     return pairs.join(where, "eval_id").groupBy("split_name", "source_name").agg(
         F.count("*").alias("pairs"), F.countDistinct("eval_id").alias("eval_records"), F.avg("similarity").alias("mean_similarity"), F.sum("covered").alias("covered_words"), F.sum("spans").alias("spans")

@@ -130,7 +130,6 @@ def test_split_overlaps(spark, shard_words):
     got = {(min(r.train_id, r.eval_id), max(r.train_id, r.eval_id)) for r in pairs}
     assert got == want and len(want) > 50
     assert all(split[r.train_id] == "train" and split[r.eval_id] != "train" and r.similarity >= 0.7 - 1e-9 for r in pairs)
-    assert all(0 <= r.longest <= r.covered <= 60 and r.spans <= r.covered for r in pairs) and sum(r.spans == 1 for r in pairs) > 10
     empty = overlap.overlap_pairs(*overlap.split_overlaps(frame(spark, rows).limit(0)))
     assert empty.count() == 0
 
@@ -157,7 +156,7 @@ def test_spans_of_each_pair(spark, shard_words):
     made = [(5000, base, "train"), (5001, base, "val"), (5002, near, "test"), (5003, last, "test"), (5004, near[::-1], "val"), (5005, last, "train"), (5006, base + base[:5], "val")]
     rows = texts(400, 2) + [(i, " ".join(w), s) for i, w, s in made]
     words = {i: words_of(t) for i, t, _ in rows}
-    pairs = overlap.overlap_pairs(*overlap.split_overlaps(frame(spark, rows), shard_words=shard_words)).collect()
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(frame(spark, rows), shard_words=shard_words, with_spans=True)).collect()
     assert len(pairs) > 50 and {(r.train_id, r.eval_id) for r in pairs} >= {(5000, 5001), (5000, 5002), (5000, 5003), (5000, 5004), (5005, 5001), (5005, 5003)}
     for r in pairs:
         assert (r.spans, r.covered, r.longest) == brute_matches(words[r.train_id], words[r.eval_id]), (r.train_id, r.eval_id)
@@ -168,19 +167,50 @@ def test_fm_index():
     recs = [rng.integers(0, 6, rng.integers(1, 30)).astype(np.uint32) for _ in range(40)]
     off = np.concatenate([[0], np.cumsum([len(r) for r in recs])])
     ix = fmindex.FMIndex(np.arange(40), np.concatenate(recs), off)
-    count = lambda p: sum((r[k : k + len(p)] == p).all() for r in recs for k in range(len(r) - len(p) + 1))
+    places = lambda p: sorted(i for i, r in enumerate(recs) for k in range(len(r) - len(p) + 1) if (r[k : k + len(p)] == p).all())
     text = rng.integers(0, 8, 60).astype(np.uint32)
-    sym = ix.symbols(text)
-    ends, length, lo, hi = ix.maximal_matches(sym, np.zeros(60, np.int64))
-    for e, n, a, b in zip(ends, length, lo, hi):
-        p = text[e - n + 1 : e + 1]
-        assert count(p) == b - a > 0
-        assert e - n < 0 or count(text[e - n : e + 1]) == 0
-        starts = ix.locate(np.arange(a, b))
-        for i, s in zip(range(a, b), starts):
-            r = ix.record[i]
-            k = s - ix.starts[r]
-            assert (recs[r][k : k + n] == p).all()
+    sym, begin = ix.symbols(text), np.repeat([0, 30], 30)
+    for length in (1, 2, 3):
+        lo, hi = ix.matches(sym, begin, length)
+        for e in range(60):
+            start = e - length + 1
+            assert sorted(ix.record[lo[e] : hi[e]].tolist()) == (places(text[start : e + 1]) if start >= begin[e] else []), (length, e)
+
+
+def test_least_matches_holds_for_all_alike_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(3000):
+        n = int(rng.integers(10, 60))
+        universe = rng.permutation(200)[: n + int(rng.integers(0, 25))]
+        x, y = np.sort(universe[:n]), np.sort(universe[int(rng.integers(0, n // 3)) :])
+        s, u = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+        if s < 0.7 * u or len(y) < 10:
+            continue
+        pairs = set(zip(x, x[1:])) & set(zip(y, y[1:]))
+        a, b = np.array([len(x)]), np.array([len(y)])
+        assert len(pairs) >= overlap.least_matches(a, b, 0.7)[0] >= overlap._sure(a, 0.7, 10)[0] >= 1
+    n = np.arange(10, 3000)
+    m = [np.arange(max(10, -(-7 * k // 10)), 10 * k // 7 + 1) for k in n]
+    assert [overlap.least_matches(np.full(len(x), k), x, 0.7).min() for k, x in zip(n, m)] == overlap._sure(n, 0.7, 10).tolist()
+
+
+def test_rows_come_from_backward_search(monkeypatch):
+    rng = np.random.default_rng(6)
+    recs = [np.sort(rng.permutation(400)[:20]).astype(np.uint32) for _ in range(50)]
+    off = np.arange(0, 1001, 20)
+    ix = fmindex.FMIndex(np.arange(50), np.concatenate(recs), off)
+    found = overlap.search(ix, np.concatenate(recs), off)
+    assert found["row"].tolist() == found["record"].tolist() == list(range(50))
+    monkeypatch.setattr(fmindex.FMIndex, "step", lambda self, c, lo, hi: (lo * 0, lo * 0))
+    assert not len(overlap.search(ix, np.concatenate(recs), off)["row"])
+
+
+def test_low_bar_is_searched_by_words(spark):
+    rows = texts(300, 8)
+    split = {i: s for i, _, s in rows}
+    want = {(a, b) for a, b in brute(rows, 0.4, 3) if (split[a] == "train") != (split[b] == "train")}
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(frame(spark, rows), bar=0.4, least=3)).collect()
+    assert {(min(r.train_id, r.eval_id), max(r.train_id, r.eval_id)) for r in pairs} == want and len(want) > 30
 
 
 def test_components(spark):
