@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def connected_components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """(id, component): the least id that each end of a link (columns a, b) is connected to. Ids without a link have no row."""
+def connected_components(links: DataFrame) -> DataFrame:
+    """(id, component): the least id that each end of a link (columns a, b) is connected to. Ids without a link have no
+    row. Rounds go on until no link changes; their number grows with the logarithm of the longest path."""
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "cc")
     state = None
-    for _ in range(most_rounds):
+    while True:
         # large star: neighbours above a node point to the least neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

@@ -27,6 +27,7 @@ FLOOR = 1e-3
 BLOCK = 2048
 #: Entries that one task takes; a part that a sample shows to hold more is split into blocks, and each pair of blocks is a task.
 PART_ENTRIES, SAMPLED = 1_000_000, 64
+PARTS_A_TASK = 4
 ENTRY = np.dtype([("key", "<u4"), ("n", "<u2"), ("bits", "<u4"), ("id", "<i8")])
 
 
@@ -268,15 +269,25 @@ def candidates(reps: DataFrame, sampler: Sampler, bar: float = BAR) -> DataFrame
     schema = "p int, i int, j int, e binary"
     full = some.mapInArrow(sign, schema).groupBy("p").agg(F.sum(F.length("e")).alias("s")).where(F.col("s") > 4 * PART_ENTRIES * ENTRY.itemsize / SAMPLED).collect()
     split.update({r.p: int(r.s * SAMPLED / ENTRY.itemsize // PART_ENTRIES) + 1 for r in full})
-    met = columns.mapInArrow(sign, schema).groupBy("p", "i", "j").applyInArrow(pairs, "a bigint, b bigint, x binary, y binary")
-    return met.distinct().mapInArrow(expand, "a bigint, b bigint").distinct()  # blocks of several bands may hold the same pair
+    tasks = max(least, parts // PARTS_A_TASK)  # grow with the entries, whatever the session's number of partitions
+    met = columns.mapInArrow(sign, schema).repartition(tasks, "p", "i", "j").groupBy("p", "i", "j").applyInArrow(pairs, "a bigint, b bigint, x binary, y binary")
+    # blocks of several bands may hold the same pair; parted by a, as the verification needs them
+    return met.distinct().mapInArrow(expand, "a bigint, b bigint").repartition(tasks, "a").distinct()
 
 
-def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR, sampler: Sampler | None = None) -> DataFrame:
-    """(a, b, shared, similarity) of the candidates whose weighted Jaccard similarity is at least ``bar``: the weight of shared
-    shingles over the weight of all. Without ``sampler`` every shingle weighs 1, with it as much as in the sampling."""
+def verified(cands: DataFrame, reps: DataFrame, sampler: Sampler, bar: float = BAR, weighted: bool = False) -> DataFrame:
+    """(a, b, shared, similarity, weighted) of the candidates that are alike.
+
+    ``weighted`` is the weighted Jaccard similarity: the idf weight of shared
+    shingles over that of all, weighed as in the sampling. With ``weighted`` the
+    bar is on it. Else pairs under the least weighted similarity that a pair at
+    the bar can have go first (weights have a least and a highest value, so
+    this loses none), and the bar is on the share of equal words.
+    """
     w = reps.select("rep", "words")
     both = cands.join(w.select(F.col("rep").alias("a"), F.col("words").alias("wa")), "a").join(w.select(F.col("rep").alias("b"), F.col("words").alias("wb")), "b").select("a", "b", "wa", "wb")
+    low, high = float(np.log1p(1.0)), sampler.most
+    floor = bar if weighted else bar * low / (bar * low + (1 - bar) * high)
 
     def run(batches):
         for batch in batches:
@@ -285,23 +296,26 @@ def verified(cands: DataFrame, reps: DataFrame, bar: float = BAR, sampler: Sampl
             n = batch.num_rows
             row = np.concatenate([np.repeat(np.arange(n), np.diff(xo)), np.repeat(np.arange(n), np.diff(yo))]).astype(np.int64)
             key = np.sort((row << 32) | np.concatenate([x, y]).astype(np.int64))
-            both = key[1:][key[1:] == key[:-1]]
-            shared = np.bincount(both >> 32, minlength=n)
-            if sampler is None:
-                common, total = shared, np.diff(xo) + np.diff(yo) - shared
-            else:
-                weight = lambda k: np.bincount(k >> 32, sampler.weights((k & 0xFFFFFFFF).astype(np.uint32)), minlength=n)
-                common = weight(both)
-                total = weight(key) - common
-            ok = np.flatnonzero(common >= bar * total - 1e-9)
-            take = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(shared[ok].astype(np.int32)), pa.array(common[ok] / total[ok])], ["a", "b", "shared", "similarity"])
-
-    return both.mapInArrow(run, "a bigint, b bigint, shared int, similarity double")
+            again = np.append(False, key[1:] == key[:-1])
+            mass = sampler.weights((key & 0xFFFFFFFF).astype(np.uint32))
+            shared = np.bincount(key[again] >> 32, minlength=n)
+            total = np.diff(xo) + np.diff(yo) - shared
+            common = np.bincount(key[again] >> 32, mass[again], minlength=n)
+            heavy = common / np.maximum(np.bincount(key >> 32, mass, minlength=n) - common, 1e-12)
+            ok = heavy >= floor - 1e-9
+            if not weighted:
+                ok &= shared >= bar * total - 1e-9
+            take = np.flatnonzero(ok)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take)), pa.array(shared[take].astype(np.int32)), pa.array(shared[take] / np.maximum(total[take], 1)), pa.array(heavy[take])],
+                ["a", "b", "shared", "similarity", "weighted"],
+            )
+
+    return both.mapInArrow(run, "a bigint, b bigint, shared int, similarity double, weighted double")
 
 
 def alike_classes(df: DataFrame, id_col: str = "rec_id", bar: float = BAR, least: int = LEAST, weighted: bool = False, **sampling) -> tuple[DataFrame, DataFrame]:
-    """Links between classes of equal word sets (a, b, shared, similarity), and (rep, id) of every record with ``least`` words.
+    """Links between classes of equal word sets (a, b, shared, similarity, weighted), and (rep, id) of every record with ``least`` words.
 
     The bar is on the share of equal words, or with ``weighted`` of their idf weight (sizes and bitmaps then prune nothing). ``df``: id and text columns; others are ignored. Null, empty and short
     texts are alike to none and have no row. Redelivered rows count once.
@@ -309,16 +323,33 @@ def alike_classes(df: DataFrame, id_col: str = "rec_id", bar: float = BAR, least
     rows = df.select(id_col, "text")
     reps = written(classes(word_table(rows, [id_col], least)), "neardup-reps")
     sampler = Sampler(*frequent_shingles(reps), **sampling)
-    links = verified(candidates(reps, sampler, 0.0 if weighted else bar), reps, bar, sampler if weighted else None)
-    return links, members(word_table(rows, [id_col], least, with_words=False), reps)
+    links = verified(candidates(reps, sampler, 0.0 if weighted else bar), reps, sampler, bar, weighted)
+    return links, written(members(word_table(rows, [id_col], least, with_words=False), reps), "neardup-group")
 
 
-def alike_pairs(links: DataFrame, group: DataFrame) -> DataFrame:
-    """All pairs of records (id_a < id_b): within a class, and between the members of linked classes."""
-    left, right = group.select(F.col("rep").alias("a"), F.col("id").alias("x")), group.select(F.col("rep").alias("b"), F.col("id").alias("y"))
-    across = links.select("a", "b").join(left, "a").join(right, "b").select("x", "y")
-    several = group.groupBy("rep").count().where("count > 1").select("rep")
-    same = group.join(several, "rep")
-    within = same.select("rep", F.col("id").alias("x")).join(same.select("rep", F.col("id").alias("y")), "rep").where("x < y").select("x", "y")
+def _salted(pieces: int, name: str) -> F.Column:
+    """For the larger side of a join on few keys: a piece by the record's id; the other side goes to all pieces."""
+    return F.pmod(F.xxhash64(name), F.lit(pieces))
+
+
+def alike_pairs(links: DataFrame, group: DataFrame, salts: int = 32, hot: int = 200) -> DataFrame:
+    """All pairs of records (id_a < id_b): within a class, and between the members of linked classes.
+
+    Classes of ``hot`` records and more are dealt out to ``salts`` pieces by the
+    id of one side, so that no class is the work of one task.
+    """
+    sizes = group.groupBy("rep").count()
+    large = sizes.where(F.col("count") >= hot).select("rep", F.lit(True).alias("_large"))
+    member = group.join(large, "rep", "left").select("rep", "id", F.coalesce("_large", F.lit(False)).alias("large"))
+    dealt = member.withColumn("salt", F.when(F.col("large"), _salted(salts, "id")).otherwise(F.lit(0).cast("bigint")))
+    every = F.when(F.col("large"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    spread = member.withColumn("salt", F.explode(every))
+    # across: links go to all pieces of their first class, then meet the second class the same way
+    first = links.join(large.withColumnRenamed("rep", "a"), "a", "left").withColumn("large", F.coalesce("_large", F.lit(False))).select("a", "b", F.explode(every).alias("salt"))
+    left = first.join(dealt.select(F.col("rep").alias("a"), F.col("id").alias("x"), "salt"), ["a", "salt"]).select("b", "x")
+    left = left.join(large.withColumnRenamed("rep", "b"), "b", "left").withColumn("large", F.coalesce("_large", F.lit(False))).select("b", "x", F.explode(every).alias("salt"))
+    across = left.join(dealt.select(F.col("rep").alias("b"), F.col("id").alias("y"), "salt"), ["b", "salt"]).select("x", "y")
+    several = sizes.where("count > 1").select("rep")
+    within = dealt.join(several, "rep", "left_semi").select("rep", "salt", F.col("id").alias("x")).join(spread.select("rep", "salt", F.col("id").alias("y")), ["rep", "salt"]).where("x < y").select("x", "y")
     both = across.unionByName(within)
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))

@@ -64,7 +64,7 @@ def test_weighted_links(spark):
     total = lambda ws: sum(weight[w] for w in ws)
     for r in links:
         j = total(s[r.a] & s[r.b]) / total(s[r.a] | s[r.b])
-        assert j >= 0.7 - 1e-6 and abs(j - r.similarity) < 1e-6
+        assert j >= 0.7 - 1e-6 and abs(j - r.weighted) < 1e-6
     reps = {}
     for i in sorted(s):
         reps.setdefault(s[i], i)
@@ -84,6 +84,8 @@ def test_hot_copies_and_large_buckets(spark, monkeypatch, entries):
     links, group = neardup.alike_classes(spark.createDataFrame(rows, "rec_id bigint, text string, s string"), bands=80)
     assert links.count() <= 41 * 40 // 2  # links join texts, not copies
     assert {(r.id_a, r.id_b) for r in neardup.alike_pairs(links, group).distinct().collect()} == want
+    hot = [(r.id_a, r.id_b) for r in neardup.alike_pairs(links, group, salts=5, hot=3).collect()]  # classes in pieces
+    assert len(hot) == len(set(hot)) and set(hot) == want
 
 
 def test_bucket_blocks_give_all_pairs():
