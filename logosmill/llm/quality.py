@@ -1,27 +1,33 @@
 """Problem 6: per-document text quality statistics and verdicts.
 
-Texts are cut into chunks; each chunk gives partial counts per line. Only the
-first and the last line of a chunk can go on in its neighbours: they stay
-open, with the broken words and characters at their edges. ``merge`` closes
-them, so it is associative, and states are merged in a tree. Ratios and the
-verdict are derived at the end.
+Every text is cut into chunks, each behind a blank, before it is brought to the
+consistent form; so no word and no composed letter is broken. A chunk gives
+partial counts per line. Only its first and its last line can go on in its
+neighbours: they stay open, with the characters at their edges that windows of
+three characters need. ``merge`` closes them, so it is associative. Chunks of
+one task are merged there, spans of huge texts in a tree over tasks. Ratios and
+the verdict are derived at the end, and do not depend on the size of a chunk.
 """
 
 from __future__ import annotations
 
+import functools
 import pickle
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textnorm import CharBatch, fold_char, slices, tables, to_string_array, word_hash
+from .textnorm import CharBatch, fold_char, script_totals, slices, tables, to_string_array, word_hash
 
 #: Additive features of a line.
 CHARS, LETTERS, DIGITS, VOWELS, SAME, CELLS, COMMAS, DASHES, SLASHES, MARKS, SYMBOLS, CLUSTERS, WORDS, WORDCHARS, COMMON, NUMBERS, CAPS, CODES, BADENDS = range(19)
 NF = 19
-CHUNK = 1 << 16
+#: Characters of a chunk, and of the spans that longer texts are dealt out in.
+CHUNK, SPAN = 1000, 1 << 16
+BLANK = re.compile(r"\s")
 STOPS = set(".;!?…·;»\"”)]:,'")
 ENDS = set(".;!?…;»\"”)]")
 BULLETS = set("-*•–—·▪●")
@@ -79,39 +85,46 @@ def char_tables() -> dict:
     return _T
 
 
-def line_matrix(cb: CharBatch, bounds: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Features of the lines [bounds[i], bounds[i+1]) of a batch; a line break belongs to none."""
+def _flags(low: np.ndarray, begins: np.ndarray) -> dict:
+    """What each character counts for, alone and with the two after it; ``begins``: where lines begin, behind which no window looks."""
     t = char_tables()
-    low = cb.low
     n = len(low)
-    out = np.zeros((len(bounds) - 1, NF), np.int64)
-    if not n or len(bounds) < 2:
-        return out
-    letter, digit, space = t["letter"][low], t["digit"][low], t["space"][low]
-    brk = low == 10
-    begins = np.zeros(n + 2, bool)
-    begins[bounds[bounds < n]] = True
+    letter, digit, vowel = t["letter"][low], t["digit"][low], t["vowel"][low]
     nxt = np.append(low[1:], 10)
     nxt[begins[1 : n + 1]] = 10
     nx2 = np.append(nxt[1:], 10)
     nx2[begins[1 : n + 1]] = 10
-    nspace = t["space"][nxt]
-    full = ~space
+    full = ~t["space"][low]
     sp = low == 32
-    flags = {
+    return {
         CHARS: full,
         LETTERS: letter,
         DIGITS: digit,
-        VOWELS: t["vowel"][low],
+        VOWELS: vowel,
         SAME: full & (low == nxt),
-        CELLS: (low == 9) | (low == 124) | (sp & (nxt == 32) & (nx2 != 32) & (nx2 != 10)) | ((low == 59) & ~nspace),
+        CELLS: (low == 9) | (low == 124) | (sp & (nxt == 32) & (nx2 != 32) & (nx2 != 10)) | ((low == 59) & ~t["space"][nxt]),
         COMMAS: (low == 44) & (nxt == 32),
         DASHES: sp & (nx2 == 32) & ((nxt == 45) | (nxt == 0x2013) | (nxt == 0x2014) | (nxt == 0x2022) | (nxt == 0xB7)),
         SLASHES: sp & (nxt == 47) & (nx2 == 32),
         MARKS: digit & ((nxt == 46) | (nxt == 41)) & (nx2 == 32),
         SYMBOLS: full & ~letter & ~digit,
-        CLUSTERS: _clusters(letter, t["vowel"][low], nxt, nx2, t),
+        CLUSTERS: _clusters(letter, vowel, nxt, nx2, t),
     }
+
+
+def line_matrix(cb: CharBatch, bounds: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Features of the lines [bounds[i], bounds[i+1]) of a batch; a line break belongs to none."""
+    t = char_tables()
+    low = cb.low
+    n = len(low)
+    out = np.zeros((len(bounds) - 1, NF), np.int64)
+    if not n or len(bounds) < 2:
+        return out
+    brk = low == 10
+    begins = np.zeros(n + 2, bool)
+    begins[bounds[bounds < n]] = True
+    flags = _flags(low, begins)
+    digit = flags[DIGITS]
     edges = np.minimum(bounds, n)
     for k, f in flags.items():
         total = np.zeros(n + 1, np.int64)
@@ -146,7 +159,7 @@ KINDS = ("list", "table", "junk", "prose")
 
 
 def classify(m: np.ndarray, lead: list[str], last: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Kind of each line (features, first and last characters without blanks), and whether it is a bare short item."""
+    """Kind of each line (features, its first twelve characters and its last one, blanks at its ends left out), and whether it is a bare short item."""
     n = len(m)
     words, common, num = m[:, WORDS], m[:, COMMON], m[:, NUMBERS]
     chars = np.maximum(m[:, CHARS], 1)
@@ -190,83 +203,45 @@ def classify(m: np.ndarray, lead: list[str], last: list[str]) -> tuple[np.ndarra
     return kind, bare
 
 
+def pieces_of(text: str, size: int) -> list[str]:
+    """The text in pieces of ``size`` characters and what follows up to the next blank (with it)."""
+    out, at = [], 0
+    while len(text) - at > size:
+        m = BLANK.search(text, at + size - 1)
+        if m is None or m.end() == len(text):
+            break
+        out.append(text[at : m.end()])
+        at = m.end()
+    return [*out, text[at:]]
+
+
 def empty_state() -> dict:
     return {"sums": np.zeros(NF, np.int64), "lines": np.zeros(7, np.int64), "open": []}
 
 
-def _open_line(text: str, common) -> dict:
-    """A line whose ends may go on: features without the words at its edges."""
-    cb = CharBatch(pa.array([text], pa.large_string()), resolve=False)
-    a, b = 0, len(text)
-    whole = bool(text) and len(cb.start) == 1 and cb.start[0] == 0 and cb.end[0] == len(text)
-    head = tail = ""
-    if whole:
-        head = text
-    elif len(cb.start):
-        if cb.start[0] == 0:
-            head = text[: cb.end[0]]
-            a = cb.end[0]
-        if cb.end[-1] == len(text):
-            tail = text[cb.start[-1] :]
-            b = cb.start[-1]
-        keep = (cb.start >= a) & (cb.end <= b)
-        cb.start, cb.end, cb.word_row = cb.start[keep], cb.end[keep], cb.word_row[keep]
-    if whole:
-        cb.start = cb.end = cb.word_row = np.zeros(0, np.int64)
-    f = line_matrix(cb, np.array([0, max(len(text), 1)]), common)[0]
-    strip = text.strip()
-    return {"f": f, "head": head, "tail": tail, "whole": whole, "n": len(text), "first2": text[:2], "last2": text[-2:], "lead": text.lstrip()[:12], "last": strip[-2:]}
-
-
-def _windows(text: str, common) -> np.ndarray:
-    cb = CharBatch(pa.array([text], pa.large_string()), resolve=False)
-    cb.start = cb.end = cb.word_row = np.zeros(0, np.int64)
-    return line_matrix(cb, np.array([0, max(len(text), 1)]), common)[0]
-
-
-def _word(text: str, common) -> np.ndarray:
-    if not text:
-        return np.zeros(NF, np.int64)
-    cb = CharBatch(pa.array([text], pa.large_string()), resolve=False)
-    f = line_matrix(cb, np.array([0, len(text)]), common)[0]
-    f[:WORDS] = 0
-    return f
-
-
-def _join(a: dict, b: dict, common) -> dict:
+@functools.lru_cache(maxsize=50_000)
+def _windows(text: str) -> np.ndarray:
+    """What the characters of a seam count for."""
+    out = np.zeros(NF, np.int64)
+    if text:
+        low = np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), 65536)
+        for k, f in _flags(low, np.zeros(len(low) + 2, bool)).items():
+            out[k] = f.sum()
+    return out
+
+
+def _join(a: dict, b: dict) -> dict:
     """Two parts of one line, one after the other."""
     if a["n"] == 0:
         return b
     if b["n"] == 0:
         return a
-    f = a["f"] + b["f"]
     seam_a, seam_b = a["last2"], b["first2"]
-    f += _windows(seam_a + seam_b, common) - _windows(seam_a, common) - _windows(seam_b, common)
-    end_a = a["head"] if a["whole"] else a["tail"]
-    mid = end_a + b["head"]
-    whole = a["whole"] and b["whole"]
-    head, tail = a["head"], b["tail"]
-    if whole:
-        head, tail = mid, ""
-    elif a["whole"]:
-        head = mid
-    elif b["whole"]:
-        tail = mid
-    else:
-        f += _word(mid, common)
-    lead = (a["lead"] + b_lead(a, b))[:12]
-    last = b["last"] if b["last"] else a["last"]
-    return {"f": f, "head": head, "tail": tail, "whole": whole, "n": a["n"] + b["n"], "first2": (a["first2"] + b["first2"])[:2], "last2": (a["last2"] + b["last2"])[-2:], "lead": lead, "last": last}
-
-
-def b_lead(a: dict, b: dict) -> str:
-    """What follows the lead of a: the raw start of b (blanks within the lead are rare and only shift it)."""
-    return b["lead"] if not a["lead"] else (" " if b["first2"][:1].isspace() or a["last2"][-1:].isspace() else "") + b["lead"]
-
-
-def _close(state: dict, line: dict, common) -> None:
-    f = line["f"] + _word(line["head"], common) + (_word(line["tail"], common) if not line["whole"] else 0)
-    _count(state, f[None, :], [line["lead"]], [line["last"]])
+    return {
+        "f": a["f"] + b["f"] + _windows(seam_a + seam_b) - _windows(seam_a) - _windows(seam_b), "n": a["n"] + b["n"],
+        "first2": (a["first2"] + b["first2"])[:2], "last2": (a["last2"] + b["last2"])[-2:], "first12": (a["first12"] + b["first12"])[:12],
+        "lead": (a["lead"] + b["first12"])[:12] if a["lead"] else b["lead"], "last": b["last"] or a["last"],
+    }
 
 
 def _count(state: dict, m: np.ndarray, lead: list[str], last: list[str]) -> None:
@@ -275,53 +250,127 @@ def _count(state: dict, m: np.ndarray, lead: list[str], last: list[str]) -> None
     state["sums"] += m.sum(0)
     state["lines"][:4] += np.bincount(kind[full], minlength=4)
     state["lines"][4] += int(bare.sum())
-    state["lines"][5] += sum(x[-1:] in STOPS for x, y in zip(last, full) if y)
+    state["lines"][5] += sum(x in STOPS for x, y in zip(last, full) if y)
     state["lines"][6] += int(full.sum())
 
 
-def chunk_state(text: str, common: np.ndarray) -> dict:
-    """The partial counts of one chunk (already in the consistent form)."""
-    state = empty_state()
-    lines = text.split("\n")
-    if len(lines) == 1:
-        state["open"] = [_open_line(text, common)]
-        return state
-    inner = lines[1:-1]
-    if inner:
-        cb = CharBatch(pa.array(["\n".join(inner)], pa.large_string()), resolve=False)
-        bounds = np.concatenate([[0], np.flatnonzero(cb.low == 10) + 1, [len(cb.low) + 1]])
-        _count(state, line_matrix(cb, bounds, common), [x.lstrip()[:12] for x in inner], [x.strip()[-2:] for x in inner])
-    state["open"] = [_open_line(lines[0], common), _open_line(lines[-1], common)]
-    return state
-
-
-def merge(a: dict, b: dict, common: np.ndarray) -> dict:
+def merge(a: dict, b: dict) -> dict:
     """The state of two neighbouring stretches of one text."""
     if not a["open"]:
         return b
     if not b["open"]:
         return a
     out = {"sums": a["sums"] + b["sums"], "lines": a["lines"] + b["lines"], "open": []}
-    mid = _join(a["open"][-1], b["open"][0], common)
-    if len(a["open"]) == 1 and len(b["open"]) == 1:
-        out["open"] = [mid]
-    elif len(a["open"]) == 1:
-        out["open"] = [mid, b["open"][1]]
-    elif len(b["open"]) == 1:
-        out["open"] = [a["open"][0], mid]
-    else:
-        _close(out, mid, common)
+    mid = _join(a["open"][-1], b["open"][0])
+    if len(a["open"]) == 2 and len(b["open"]) == 2:
+        _count(out, mid["f"][None, :], [mid["lead"]], [mid["last"]])
         out["open"] = [a["open"][0], b["open"][1]]
+    else:
+        out["open"] = [*a["open"][:-1], mid, *b["open"][1:]]
     return out
 
 
-def finish(state: dict, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def finish(state: dict) -> tuple[np.ndarray, np.ndarray]:
     out = {"sums": state["sums"].copy(), "lines": state["lines"].copy(), "open": []}
-    for line in state["open"]:
-        _close(out, line, common)
+    for x in state["open"]:
+        _count(out, x["f"][None, :], [x["lead"]], [x["last"]])
     return out["sums"], out["lines"]
 
 
+class ChunkLines:
+    """Lines and parts of lines of a batch of chunks, with their features, all at once."""
+
+    def __init__(self, cb: CharBatch, common: np.ndarray):
+        low = cb.low
+        self.n = len(cb.rows) - 1
+        starts = np.unique(np.concatenate([cb.rows[:-1][np.diff(cb.rows) > 0], np.flatnonzero(low == 10) + 1])).astype(np.int64)
+        starts = starts[starts < len(low)]
+        bounds = np.append(starts, len(low))
+        self.chunk = np.searchsorted(cb.rows, starts, "right") - 1
+        self.m = line_matrix(cb, bounds, common)
+        broken = low[bounds[1:] - 1] == 10 if len(starts) else np.zeros(0, bool)
+        self.start, self.end = starts, bounds[1:] - broken
+        #: The last part of a chunk ends with a line break, so an empty part follows it.
+        self.closed = broken
+        self.text = cb.cps.tobytes().decode("utf-32-le", "replace")
+        full = np.flatnonzero(~char_tables()["space"][low])
+        if len(full):
+            first = full[np.minimum(np.searchsorted(full, self.start), len(full) - 1)]
+            final = full[np.maximum(np.searchsorted(full, self.end) - 1, 0)]
+            ok = (first >= self.start) & (first < self.end)
+            self.lead = [self.text[a : min(a + 12, e)] if y else "" for a, e, y in zip(first.tolist(), self.end.tolist(), ok.tolist())]
+            self.last = [self.text[b] if y else "" for b, y in zip(final.tolist(), ok.tolist())]
+        else:
+            self.lead, self.last = [""] * len(starts), [""] * len(starts)
+
+    def sums(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums and line counts of every chunk over the lines ``which`` (numbers), counted as whole lines."""
+        row, n = self.chunk[which], self.n
+        last = [self.last[i] for i in which.tolist()]
+        kind, bare = classify(self.m[which], [self.lead[i] for i in which.tolist()], last)
+        full = kind >= 0
+        stop = np.fromiter((x in STOPS for x in last), bool, len(last))
+        sums, lines = np.zeros((n, NF), np.int64), np.zeros((n, 7), np.int64)
+        for k in range(4):
+            lines[:, k] = np.bincount(row[kind == k], minlength=n)
+        lines[:, 4], lines[:, 5], lines[:, 6] = (np.bincount(row[x], minlength=n) for x in (bare, stop & full, full))
+        np.add.at(sums, row, self.m[which])
+        return sums, lines
+
+    def part(self, i: int) -> dict:
+        a, b = int(self.start[i]), int(self.end[i])
+        x = self.text[a : min(b, a + 12)]
+        return {"f": self.m[i], "n": b - a, "first2": x[:2], "last2": self.text[max(a, b - 2) : b], "first12": x, "lead": self.lead[i], "last": self.last[i]}
+
+
+NO_PART = {"f": np.zeros(NF, np.int64), "n": 0, "first2": "", "last2": "", "first12": "", "lead": "", "last": ""}
+
+
+def _chunks(arr: pa.Array, common: np.ndarray, chunk: int, totals, ends: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[int, list[dict]]]:
+    """Of all chunks of all texts at once: the first chunk of each text (and where the last ends), sums and line counts of whole
+    lines, and the open parts of chunks that have neighbours, or of all chunks if the texts have ``ends`` that go on."""
+    if not ends and (not len(arr) or pa.compute.max(pa.compute.utf8_length(arr)).as_py() <= chunk):
+        lines = ChunkLines(CharBatch(arr), common)
+        return np.arange(len(arr) + 1), *lines.sums(np.arange(len(lines.chunk))), {}
+    texts = arr.to_pylist()
+    cut = [pieces_of(x, chunk) for x in texts]
+    size = np.array([len(x) for x in cut])
+    owner = np.repeat(np.arange(len(texts)), size)
+    several = (size > 1)[owner] | ends
+    whole = functools.lru_cache(maxsize=64)(lambda i: totals(texts[i]))
+    lines = ChunkLines(CharBatch(to_string_array(pa.array([y for x in cut for y in x], pa.large_string())), totals=lambda i: whole(int(owner[i]))), common)
+    chunk_of = lines.chunk
+    new = np.append(True, chunk_of[1:] != chunk_of[:-1])[: len(chunk_of)]
+    final = np.append(new[1:], True)[: len(chunk_of)]
+    edge = (new | final & ~lines.closed) & several[chunk_of]  # a last line that ends with a break is a whole one
+    sums, counts = lines.sums(np.flatnonzero(~edge))
+    first = np.searchsorted(chunk_of, np.arange(lines.n + 1))
+    opened = {}
+    for c in np.flatnonzero(several).tolist():
+        a, b = int(first[c]), int(first[c + 1])
+        if a == b:
+            opened[c] = [NO_PART]
+            continue
+        opened[c] = [lines.part(a), *([NO_PART] if lines.closed[b - 1] else [lines.part(b - 1)] if b - a > 1 else [])]
+    return np.concatenate([[0], np.cumsum(size)]), sums, counts, opened
+
+
+def stretch_state(text: str, common: np.ndarray, chunk: int = CHUNK, totals=script_totals) -> dict:
+    """The state of a stretch of a longer text, merged from those of its chunks."""
+    _, sums, counts, opened = _chunks(to_string_array(pa.array([text], pa.large_string())), common, chunk, totals, True)
+    return functools.reduce(merge, [{"sums": sums[c], "lines": counts[c], "open": opened[c]} for c in range(len(sums))], empty_state())
+
+
+def text_counts(arr: pa.Array, common: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and line counts of each text, merged from those of its chunks."""
+    at, sums, counts, opened = _chunks(arr, common, chunk, script_totals, False)
+    out_sums, out_counts = sums[at[:-1]], counts[at[:-1]]
+    for i in np.flatnonzero(np.diff(at) > 1).tolist():
+        state = functools.reduce(merge, [{"sums": sums[c], "lines": counts[c], "open": opened[c]} for c in range(int(at[i]), int(at[i + 1]))])
+        out_sums[i], out_counts[i] = finish(state)
+    return out_sums, out_counts
+
+
 def verdict(lines: np.ndarray) -> np.ndarray:
     """Kind of each document from its line counts: more than half of the full lines are of one or more bad kinds."""
     lines = np.atleast_2d(lines)
@@ -346,44 +395,19 @@ def stats_arrays(sums: np.ndarray, lines: np.ndarray) -> list[pa.Array]:
 
 
 def batch_stats(cb: CharBatch, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sums and line counts of every row of a batch, all rows at once."""
-    n = len(cb.rows) - 1
-    starts = np.unique(np.concatenate([cb.rows[:-1][np.diff(cb.rows) > 0], np.flatnonzero(cb.low == 10) + 1]))
-    starts = starts[starts < len(cb.low)]
-    sums, lines = np.zeros((n, NF), np.int64), np.zeros((n, 7), np.int64)
-    if not len(starts):
-        return sums, lines
-    bounds = np.append(starts, len(cb.low))
-    m = line_matrix(cb, bounds, common)
-    row = np.searchsorted(cb.rows, starts, "right") - 1
-    ends = np.minimum(bounds[1:], cb.rows[row + 1])
-    text = cb.cps.tobytes().decode("utf-32-le", "replace")
-    lead, last = [], []
-    for a, b in zip(starts.tolist(), ends.tolist()):
-        x = text[a : a + 40].lstrip() or text[a:b].lstrip()
-        lead.append(x[:12] if b - a >= 40 else text[a:b].lstrip()[:12])
-        y = text[max(a, b - 40) : b].rstrip() or text[a:b].rstrip()
-        last.append(y[-2:])
-    kind, bare = classify(m, lead, last)
-    full = kind >= 0
-    stop = np.fromiter((x[-1:] in STOPS for x in last), bool, len(last))
-    for k in range(4):
-        lines[:, k] = np.bincount(row[kind == k], minlength=n)
-    lines[:, 4] = np.bincount(row[bare], minlength=n)
-    lines[:, 5] = np.bincount(row[stop & full], minlength=n)
-    lines[:, 6] = np.bincount(row[full], minlength=n)
-    np.add.at(sums, row, m)
-    return sums, lines
+    """Sums and line counts of every row of a batch, each row as one chunk."""
+    lines = ChunkLines(cb, common)
+    return lines.sums(np.arange(len(lines.chunk)))
 
 
-def text_quality(df: DataFrame, common: list[tuple[str, str]], id_col: str = "rec_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def text_quality(df: DataFrame, common: list[tuple[str, str]], id_col: str = "rec_id", text_col: str = "text", chunk: int = CHUNK, span: int = SPAN) -> DataFrame:
     """Statistics and a verdict (list, table, junk or prose) for each text.
 
     ``common``: (language, word) pairs, a bounded list. Null and empty texts
     have zero counts, ratios 0 and the verdict prose. Rows are kept as they
-    are, repeated ids included; for texts longer than ``chunk`` one row per
-    distinct (id, text) remains. Texts up to ``chunk`` characters are counted
-    whole; longer ones are split, counted in parallel and merged in a tree.
+    are, repeated ones included. Every text is counted by chunks of ``chunk``
+    characters; texts longer than ``span`` are dealt out to tasks in spans,
+    whose states are merged in a tree. Neither size changes a result.
     """
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(df[id_col].alias("k"), df[text_col].alias("t"))
@@ -395,37 +419,44 @@ def text_quality(df: DataFrame, common: list[tuple[str, str]], id_col: str = "re
         for batch in batches:
             arr = to_string_array(batch.column(1))
             for a, b in slices(arr):
-                cb = CharBatch(arr.slice(a, b - a))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *stats_arrays(*batch_stats(cb, hashes))], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *stats_arrays(*text_counts(arr.slice(a, b - a), hashes, chunk))], names)
+
+    def deal(batches):
+        for batch in batches:
+            for k, h, t in zip(batch.column(0), batch.column(1), batch.column(2)):
+                text = t.as_py()
+                totals = pickle.dumps(script_totals(text))
+                for c, x in enumerate(pieces_of(text, span)):
+                    yield pa.RecordBatch.from_arrays([pa.array([k.as_py()], batch.schema.field(0).type), pa.array([h.as_py()]), pa.array([c], pa.int32()), pa.array([totals], pa.binary()), pa.array([x], pa.string())], ["k", "h", "c", "g", "x"])
 
     def part(batches):
         for batch in batches:
-            arr = to_string_array(batch.column(3))
-            states = [pickle.dumps(chunk_state(x, hashes)) for x in arr.to_pylist()]
+            states = []
+            for g, x in zip(batch.column(3), batch.column(4)):
+                totals = pickle.loads(g.as_py())
+                states.append(pickle.dumps(stretch_state(x.as_py(), hashes, chunk, lambda _, totals=totals: totals)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(states, pa.binary())], ["k", "h", "c", "s"])
 
     def up(level):
         def run(key, pdf):
+            import pandas as pd
+
             out = empty_state()
             for s in pdf.sort_values("c")["s"]:
-                out = merge(out, pickle.loads(s), hashes)
+                out = merge(out, pickle.loads(s))
+            copies = int(pdf["copies"].iloc[0])
             if level:
-                import pandas as pd
-
-                arrays = stats_arrays(*finish(out, hashes))
-                return pd.DataFrame({"k": [key[0]]} | {x: a.to_pylist() for x, a in zip(names[1:], arrays)})
-            return pdf.head(1).assign(c=key[2], s=pickle.dumps(out))[["k", "h", "c", "s"]]
+                arrays = stats_arrays(*finish(out))
+                return pd.DataFrame({"k": [key[0]] * copies} | {x: a.to_pylist() * copies for x, a in zip(names[1:], arrays)})
+            return pd.DataFrame({"k": [key[0]], "h": [key[1]], "c": [key[2]], "s": [pickle.dumps(out)], "copies": [copies]})
 
         return run
 
-    long = F.length("t") > chunk
-    whole = rows.where(~F.coalesce(long, F.lit(False))).mapInArrow(short, schema)
-    from .lookalikes import normalize_lookalikes
-
-    big = normalize_lookalikes(rows.where(long), "k", "t").select("k", F.col("consistent_text").alias("t"))
-    pieces = big.select("k", F.xxhash64("t").alias("h"), F.col("t")).select("k", "h", F.posexplode(F.expr(f"transform(sequence(0, (length(t) - 1) div {chunk}), i -> substr(t, cast(i * {chunk} + 1 as int), {chunk}))")).alias("c", "x"))
-    states = pieces.repartition("k", "h", "c").mapInArrow(part, f"k {kind}, h bigint, c int, s binary")
-    states = states.dropDuplicates(["k", "h", "c"])
-    first = states.groupBy("k", "h", F.expr("c div 64").alias("g")).applyInPandas(up(0), f"k {kind}, h bigint, c int, s binary")
+    long = F.coalesce(F.length("t") > span, F.lit(False))
+    whole = rows.where(~long).mapInArrow(short, schema)
+    dealt = rows.where(long).select("k", F.md5("t").alias("h"), "t").mapInArrow(deal, f"k {kind}, h string, c int, g binary, x string")
+    states = dealt.repartition("k", "h", "c").mapInArrow(part, f"k {kind}, h string, c int, s binary")
+    states = states.groupBy("k", "h", "c").agg(F.first("s").alias("s"), F.count("*").alias("copies"))  # a repeated row has the same pieces
+    first = states.groupBy("k", "h", F.expr("c div 64").alias("g")).applyInPandas(up(0), f"k {kind}, h string, c int, s binary, copies bigint")
     done = first.groupBy("k", "h").applyInPandas(up(1), schema)
     return whole.unionByName(done).withColumnRenamed("k", id_col)

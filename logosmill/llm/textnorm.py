@@ -15,7 +15,8 @@ Rules of the consistent form
   the word is a mixed confusable and its look-alikes take the script of most
   of its letters. Words wholly of look-alikes (whole-script confusables) are
   reported, not changed. On a tie the script that can spell the whole word
-  wins, then the script of most of the text's letters.
+  wins, then one that can spell more of it, then the script of most of the
+  text's letters. So a second pass changes nothing.
 """
 
 from __future__ import annotations
@@ -125,8 +126,25 @@ def whole_script_confusable(word: str) -> bool:
     return any(s != own and _swap(word, s)[1] for s in (G, L, C))
 
 
-def consistent(text: str) -> str:
-    """The consistent form of one text."""
+def script_totals(text: str) -> dict[int, int]:
+    """Letters of each script in a text, presentation variants as the letters they stand for. Totals of parts add up."""
+    cps = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    per = tables()["letters"]
+    total = np.bincount(np.minimum(cps, 65536), minlength=65537) @ per
+    for o, n in zip(*np.unique(cps[cps > 65535], return_counts=True)):
+        total += n * _letters_of(int(o))
+    return {s: int(x) for s, x in zip((G, L, C), total)}
+
+
+def _letters_of(o: int) -> np.ndarray:
+    new = CHAR_MAP[o]
+    sets = [script_of(ch) for ch in ud.normalize("NFC", chr(new) if isinstance(new, int) else new)]
+    return np.array([sets.count(s) for s in (G, L, C)], np.int64)
+
+
+def consistent(text: str, totals=None) -> str:
+    """The consistent form of one text. ``totals`` gives the letters of each script in the whole text, of which this may be a part."""
+    raw = text
     text = text.translate(CHAR_MAP)
     if "‍" in text:
         text = _drop_joiners(text)
@@ -141,14 +159,15 @@ def consistent(text: str) -> str:
             todo.append((m.start(), m.end(), n))
     if not todo:
         return text
-    total: dict[int, int] = {}
-    for ch in text:
-        if s := script_of(ch):
-            total[s] = total.get(s, 0) + 1
+    total: dict[int, int] | None = None
     parts, at = [], 0
     for a, b, n in todo:
         word, top = text[a:b], max(n.values())
-        best = sorted((s for s in n if n[s] == top), key=lambda s: (not _swap(word, s)[1], -total.get(s, 0), s))[0]
+        best = [s for s in n if n[s] == top]
+        if len(best) > 1:
+            total = total or (totals() if totals else script_totals(raw))
+            best.sort(key=lambda s: (not _swap(word, s)[1], _swap(word, s)[0] == word, -total.get(s, 0), s))
+        best = best[0]
         parts += [text[at:a], _swap(word, best)[0]]
         at = b
     return ud.normalize("NFC", "".join([*parts, text[at:]]))
@@ -201,9 +220,15 @@ def tables() -> dict:
         if ok and same and len(f) <= 1:
             kind[o] |= PLAIN
     fold[(kind & WORDCH) == 0] = 0
+    letters = np.zeros((65537, 3), np.int64)
+    for o in np.flatnonzero(script[:65536]).tolist():
+        letters[o] = (script[o] == G, script[o] == L, script[o] == C)
+    for o in range(65536):
+        if not 0xD800 <= o <= 0xDFFF and ud.decomposition(chr(o)):
+            letters[o] = _letters_of(o)
     value = _mix(np.arange(65537, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(12345)) | np.uint64(1)
     power = np.ones(1, np.uint64)
-    _TABLES.update(kind=kind, fold=fold, script=script, value=value, power=power, inverse=power.copy())
+    _TABLES.update(kind=kind, fold=fold, script=script, letters=letters, value=value, power=power, inverse=power.copy())
     return _TABLES
 
 
@@ -268,9 +293,10 @@ class CharBatch:
     """Rows of text as code points, words and hashes, all in numpy.
 
     ``dirty``: rows that may differ from their consistent form (never misses one).
+    ``totals``: row number -> letters of each script in the text that the row is a part of.
     """
 
-    def __init__(self, arr: pa.Array, resolve: bool = True):
+    def __init__(self, arr: pa.Array, resolve: bool = True, totals=None):
         self.text = arr
         self.dirty = np.zeros(len(arr), bool)
         self._load(arr)
@@ -278,7 +304,7 @@ class CharBatch:
             self.dirty = self.suspicious()
             rows = np.flatnonzero(self.dirty)
             if len(rows):
-                fixed = [consistent(x) for x in arr.take(pa.array(rows)).to_pylist()]
+                fixed = [consistent(x, totals and (lambda i=i: totals(i))) for i, x in zip(rows.tolist(), arr.take(pa.array(rows)).to_pylist())]
                 mask = pa.array(self.dirty)
                 self.text = pc.replace_with_mask(arr, mask, pa.array(fixed, pa.large_string()))
                 bare = [MARKS.sub("", x) for x in fixed]  # marks that nothing composes with part no words

@@ -15,30 +15,55 @@ HASHES = Q.common_hashes(COMMON)
 
 
 def whole(text):
-    s, n = Q.batch_stats(CharBatch(to_string_array(pa.array([text])), resolve=False), HASHES)
+    s, n = Q.batch_stats(CharBatch(to_string_array(pa.array([text]))), HASHES)
     return s[0].tolist(), n[0].tolist()
 
 
-def chunked(text, cuts):
-    states = [Q.chunk_state(text[a:b], HASHES) for a, b in zip([0, *cuts], [*cuts, len(text)])]
-    while len(states) > 1:  # any tree
+def chunked(text, sizes):
+    """Stretches of these sizes, their states merged in any tree."""
+    parts, rest = [], text
+    for k in sizes:
+        first, *more = Q.pieces_of(rest, k)
+        if not more:
+            break
+        parts.append(first)
+        rest = "".join(more)
+    totals = Q.script_totals(text)
+    states = [Q.stretch_state(x, HASHES, 7, lambda _: totals) for x in [*parts, rest]]
+    while len(states) > 1:
         i = random.Random(len(states)).randrange(len(states) - 1)
-        states[i : i + 2] = [Q.merge(states[i], states[i + 1], HASHES)]
-    s, n = Q.finish(states[0], HASHES)
+        states[i : i + 2] = [Q.merge(states[i], states[i + 1])]
+    s, n = Q.finish(states[0])
     return s.tolist(), n.tolist()
 
 
-TEXT = st.text(st.sampled_from(list("αβκσςάοη Ξ.,;|-/\t\n19)• Q<>=")), max_size=80)
+TEXT = st.text(st.sampled_from(list("αβκσςάοη Ξ.,;|-/\t\n19)• Q<>=abcи\u0301\u00a0\u200b\u200dＡ")), max_size=80)
 
 
 @settings(max_examples=400, deadline=None)
-@given(TEXT, st.lists(st.integers(0, 80), max_size=6))
-def test_chunks_merge_to_the_whole(text, cuts):
-    cuts = sorted({c for c in cuts if 0 < c < len(text)})
-    got, want = chunked(text, cuts), whole(text)
-    assert got[0] == want[0]
-    assert got[1][4:] == want[1][4:] or got[1][6] == want[1][6]
-    assert got[1][6] == want[1][6] and got[1][5] == want[1][5]
+@given(TEXT, st.lists(st.integers(1, 30), max_size=6))
+def test_chunks_merge_to_the_whole(text, sizes):
+    assert chunked(text, sizes) == whole(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, max_size=6), st.integers(1, 60))
+def test_size_of_a_chunk_changes_nothing(texts, chunk):
+    arr = to_string_array(pa.array(texts, pa.large_string()))
+    for a, b in zip(Q.text_counts(arr, HASHES, chunk), Q.text_counts(arr, HASHES, 10**6)):
+        assert a.tolist() == b.tolist()
+
+
+def test_chunks_on_the_tables():
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/wiki_articles.parquet")["text"].to_pylist()
+    texts += pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    texts += ["\n".join(" " * 37 + f"{i}. Πόλη" for i in range(10, 38)), "α" * 5000, " " * 3000 + "1. Πόλη", "\n" * 2500]
+    arr = to_string_array(pa.array(texts, pa.large_string()))
+    want = [x.tolist() for x in Q.text_counts(arr, HASHES, 1 << 16)]
+    for chunk in (50, 1000):
+        assert [x.tolist() for x in Q.text_counts(arr, HASHES, chunk)] == want
 
 
 @pytest.mark.parametrize(("text", "kind"), [
@@ -59,11 +84,12 @@ def test_verdicts(text, kind):
 
 def test_operator(spark):
     long = "Ο τόπος είναι μακριά και δεν τον ξέρω.\n" * 4000 + "τέλος χωρίς τελεία"
-    df = spark.createDataFrame([(1, long, 5), (2, None, 5), (3, "", 5), (4, "Έλα.", 5), (4, "Έλα.", 5)], "rec_id bigint, text string, words int")
-    rows = Q.text_quality(df, COMMON, chunk=5000).collect()
+    df = spark.createDataFrame([(1, long, 5), (1, long, 6), (None, long, 5), (2, None, 5), (3, "", 5), (4, "Έλα.", 5), (4, "Έλα.", 5)], "rec_id bigint, text string, words int")
+    rows = Q.text_quality(df, COMMON, chunk=500, span=1700).collect()
     got = {r.rec_id: r for r in rows}
-    assert len(rows) == 5 and got[2].words == 0 and got[3].kind == "prose"
+    assert sorted(str(r.rec_id) for r in rows) == ["1", "1", "2", "3", "4", "4", "None"] and got[2].words == 0 and got[3].kind == "prose"
     s, n = Q.batch_stats(CharBatch(to_string_array(pa.array([long]))), HASHES)
-    assert got[1].words == s[0][Q.WORDS] and got[1].lines == 4001 and got[1].chars == s[0][Q.CHARS]
+    for k in (1, None):
+        assert got[k].words == s[0][Q.WORDS] and got[k].lines == 4001 and got[k].chars == s[0][Q.CHARS]
     assert abs(got[1].stop_line_share - 4000 / 4001) < 1e-12 and abs(got[1].common_share - s[0][Q.COMMON] / s[0][Q.WORDS]) < 1e-12
     assert Q.text_quality(df.limit(0), COMMON).count() == 0
