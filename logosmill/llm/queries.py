@@ -60,8 +60,8 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _language(spark: SparkSession, sf_dir: str, output: str) -> DataFrame:
     common = common_words(spark, sf_dir)
-    model = language.fit_language_model(records(spark, sf_dir, ("conv_sentences",)), common)
-    return language.label_languages(records(spark, sf_dir, PROSE_TABLES), model, common, output=output)
+    rows = records(spark, sf_dir, PROSE_TABLES)
+    return language.label_languages(rows, language.fit_language_model(rows, common), common, output=output)
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
