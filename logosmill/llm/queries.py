@@ -130,8 +130,8 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _truncation(spark: SparkSession, sf_dir: str, cut_only: bool) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    model = truncation.fit_truncation(docs, [w for _, w in common_words(spark, sf_dir)])
-    return truncation.score_truncation(docs, model, cut_only=cut_only)
+    model, limits = truncation.fit_truncation(docs, [w for _, w in common_words(spark, sf_dir)])
+    return truncation.score_truncation(docs, model, limits, cut_only=cut_only)
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

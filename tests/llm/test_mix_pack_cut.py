@@ -106,13 +106,29 @@ def documents(n, seed=1):
 def test_truncation(spark):
     rows = documents(1500)
     df = spark.createDataFrame([r[:3] for r in rows] + [(9000, "web", None), (9001, None, ""), (9002, "x", "   ")], "doc_id bigint, source string, text string")
-    limits = truncation.find_limits(df, "source")
-    assert 200 in limits["web"][0] and 200 in limits["book"][0]
-    model = truncation.fit_truncation(df, ["και", "να", "το", "για", "την", "τον", "από", "σε"])
-    assert model.held_out > 0.93
-    got = {r.doc_id: r.cut for r in truncation.score_truncation(df, model).collect()}
+    limits = {(r.s, r.u, r.n) for r in truncation.find_limits(df, "source").collect()}
+    assert {("web", "c", 200), ("book", "c", 200)} <= limits
+    model, table = truncation.fit_truncation(df, ["και", "να", "το", "για", "την", "τον", "από", "σε"])
+    assert model.held_out > 0.93 and model.held_out_blind > 0.9 and min(model.held_out_by_class.values()) > 0.9
+    got = {r.doc_id: r.cut for r in truncation.score_truncation(df, model, table).collect()}
     truth = {i: c and t[-1] not in ".;!»" for i, _, t, c in rows}
     assert sum(got[i] == c for i, c in truth.items()) >= 0.98 * len(truth)
     assert not (got[9000] or got[9001] or got[9002])
-    assert truncation.score_truncation(df.limit(0), model).count() == 0
-    assert truncation.fit_truncation(df.limit(0), []).score("web", "κάτι", 4, 8) == 0.5
+    empty, none = truncation.fit_truncation(df.limit(0), [])
+    assert truncation.score_truncation(df.limit(0), model, table).count() == 0 and empty.score("κάτι", "no") == 0.5 and none.count() == 0
+
+
+def test_byte_limits_make_no_limits_in_characters(spark):
+    rng = random.Random(3)
+    words = ["λόγος", "house", "δρόμος", "tree", "πόλη", "και", "of"]
+    rows = []
+    for i in range(3000):
+        t = " ".join(rng.choice(words) for _ in range(rng.randint(60, 400)))
+        rows.append((i, "s" if i % 2 else None, t.encode()[:1024].decode("utf-8", "ignore") if i % 3 == 0 else t))
+    got = {(r.s, r.u) for r in truncation.find_limits(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), "source").collect()}
+    assert got == {("s", "b"), ("", "b")}
+
+
+def test_closing_lines_are_whole():
+    long = "λέξη " * 2000 + "τέλος"
+    assert truncation.closing(f"0\n1\n2\n\nβ\n \n{long}  \n ") == f"1\n2\nβ\n{long}\n" and truncation.closing("α ") == "α " and truncation.closing(" \n") == "\n"
