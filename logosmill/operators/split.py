@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import written
-from .ranking import global_rank
+from .ranking import ranked_total
 
 
 def split_lines(df: DataFrame, key: str = "hash", seed: int = 42, share: float = 0.025, least: int = 100) -> DataFrame:
@@ -14,11 +13,11 @@ def split_lines(df: DataFrame, key: str = "hash", seed: int = 42, share: float =
 
     val and test have max(least, int(share n)) rows each, train the rest.
     With fewer than 2 * least rows the parts would overlap: val and test then
-    share the rows evenly and train is empty.
+    share the rows evenly and train is empty. All columns are written once;
+    where lines are long, split their keys and join the lines back.
     """
-    rows = global_rank(df.withColumn("_k", F.md5(F.concat(F.lit(f"{seed}|"), F.col(key)))), ["_k", key]).drop("_k")
-    rows = written(rows, "split")
-    n = rows.count()
+    rows, n = ranked_total(df.withColumn("_k", F.md5(F.concat(F.lit(f"{seed}|"), F.col(key)))), ["_k", key])
+    rows = rows.drop("_k")
     part = min(max(least, int(n * share)), n // 2)
     train = n - 2 * part
     return rows.withColumn("split", F.when(F.col("rank") <= train, "train").when(F.col("rank") <= train + part, "val").otherwise("test"))

@@ -197,7 +197,7 @@ def _priority_sql(caps: dict[str, int | None] = CAPS) -> str:
 
 
 def _deduped(spark, sf_dir, caps: dict[str, int | None] = CAPS):
-    return dedup.priority_dedup([(clean.cleaned(source_lines(spark, sf_dir, s, once=False)), caps[s]) for s in SOURCES], ORDER)
+    return dedup.priority_keys([(clean.cleaned(source_lines(spark, sf_dir, s, once=False)), caps[s]) for s in SOURCES], ORDER)
 
 
 @query(_priority_sql())
@@ -214,7 +214,8 @@ _SPLIT = (
 
 
 def _split(spark, sf_dir):
-    return split.split_lines(dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir, once=False)), ORDER))
+    """Of the hashes alone: the lines are neither sorted nor written."""
+    return split.split_lines(dedup.keep_first(clean.cleaned(all_lines(spark, sf_dir, once=False)), ORDER).select("source", "doc_id", "line_no", "hash"))
 
 
 @query(_SPLIT + "select source, doc_id, line_no, hash, rank, split from s")

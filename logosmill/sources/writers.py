@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 
 def write_splits(df: DataFrame, path: str) -> None:
-    """Lines as text, one folder for each split; needs ``split``, ``line`` and, for the order within files, ``rank``."""
-    df.repartition("split").sortWithinPartitions("split", "rank").select("split", F.col("line").alias("value")).write.partitionBy("split").mode("overwrite").text(path)
+    """Lines as text, one folder for each split; needs ``split``, ``line`` and ``rank``. Ranges of (split, rank) are tasks, so a
+    split of any size is many files; within and between files (by name) lines are in order."""
+    df.repartitionByRange("split", "rank").sortWithinPartitions("split", "rank").select("split", F.col("line").alias("value")).write.partitionBy("split").mode("overwrite").text(path)
 
 
 def write_stats(df: DataFrame, path: str) -> None:
