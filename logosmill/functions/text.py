@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -12,9 +13,13 @@ from pyspark.sql.types import StringType
 from . import lexicon as X
 
 
+#: The characters of the class X.W.
+BLANKS = "".join(chr(o) for o in range(0x3001) if re.match(re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: chr(int(m[1], 16)), X.W), chr(o)))
+
+
 def strip(c: Column) -> Column:
     """Without blanks at both ends."""
-    return F.regexp_replace(c, f"^{X.W}+|{X.W}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def words(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
-from ..functions.text import count, greek_letters, letters, repair_word, strip, strip_edges, unescape, unescape_all, when_has
+from ..functions.text import BLANKS, count, greek_letters, letters, repair_word, strip, strip_edges, unescape, unescape_all, when_has
 
 WORDCH = r"[\p{L}\p{N}_]"
 #: An address starts and ends at a word boundary in the Unicode sense.
@@ -49,7 +49,7 @@ UNEVEN = rf"{X.W}{{2,}}|[{X.W[1:-1]}&&[^ ]]"
 def tidy_spacing(c: Column) -> Column:
     """No blank before punctuation, no dangling punctuation at the end, runs of blanks as one."""
     c = F.regexp_replace(c, rf"{X.W}+([.,;:!?])", "$1")
-    c = strip(F.regexp_replace(c, rf"(?:[,:\-–—]|{X.W})+\z", ""))
+    c = F.ltrim(F.rtrim(c, F.lit(",:-–—" + BLANKS)), F.lit(BLANKS))
     return strip(F.regexp_replace(c, UNEVEN, " "))
 
 
