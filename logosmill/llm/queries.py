@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,21 +98,26 @@ def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_quality(records(spark, sf_dir, PROSE_TABLES), common_words(spark, sf_dir)).dropDuplicates(["rec_id"])
 
 
-def _packed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    import public_tokenizers
+def vocabulary_path() -> str:
+    """The vocabulary file of p7: LOGOSMILL_VOCABULARY, or the container's copy of a public one."""
+    return os.environ.get("LOGOSMILL_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
 
-    specs = load(spark, sf_dir, "pack_specs")
-    return packing.packed_documents(load(spark, sf_dir, "documents"), specs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), specs
+def _tokens(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return packing.document_tokens(load(spark, sf_dir, "documents"), vocabulary_path()), load(spark, sf_dir, "pack_specs")
 
 
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The container of each document or piece, for every row of pack_specs."""
-    return _packed(spark, sf_dir)[0]
+    tokens, specs = _tokens(spark, sf_dir)
+    return packing.pack(tokens, packing.spec_rows(specs)).withColumnRenamed("id", "doc_id")
 
 
 def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Containers and fill rate of every row of pack_specs."""
-    return packing.fill_rates(*_packed(spark, sf_dir))
+    """Containers, fill rate and lower bound of every row of pack_specs."""
+    tokens, specs = _tokens(spark, sf_dir)
+    rows = packing.spec_rows(specs)
+    return packing.fill_rates(packing.pack(tokens, rows), specs, packing.plans(tokens, rows))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,54 @@ def test_packing(spark, cap, gap):
     assert all(sum(x) + gap * (len(x) - 1) <= cap for x in room.values())
     least = sum(n + gap for _, n in rows) / (cap + gap)
     assert len(room) <= 1.12 * least + 3
-    assert packing.pack(df.limit(0), [(5, cap, gap)]).count() == 0
+    assert packing.pack(df.limit(0), [(5, cap, gap)]).count() == packing.pack(df, []).count() == 0
+    solved = packing.plans(df, [(5, cap, gap)]).first()
+    assert len(room) == solved.containers >= solved.bound - 1e-6
+
+
+def test_plan_is_near_the_bound_and_holds_every_item():
+    rng = np.random.default_rng(4)
+    for n, cap, spread in ((200, 50, 0.4), (20_000, 257, 0.7), (20_000, 8193, 0.9), (3, 10, 0.1)):
+        lengths = np.clip(rng.lognormal(np.log(cap / 3 if cap < 300 else 400), spread, n).astype(int), 1, cap)
+        sizes, counts = np.unique(lengths, return_counts=True)
+        plan, bound = packing.plan_containers(sizes, counts, cap)
+        held = np.zeros(len(sizes), np.int64)
+        for which, per, times in plan:
+            assert times > 0 and sizes[which] @ per <= cap
+            held[which] += per.astype(np.int64) * times
+        used = sum(t for *_, t in plan)
+        fit = sum(t for *_, t in packing.best_fit(sizes, counts, cap))
+        assert (held == counts).all() and bound <= used + 1e-9 and used <= fit, (used, fit, bound)
+
+
+def test_best_fit_by_length_equals_one_by_one():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        cap = int(rng.integers(5, 60))
+        sizes, counts = np.unique(rng.integers(1, cap + 1, int(rng.integers(1, 80))), return_counts=True)
+        free: list[int] = []
+        for s in sorted(np.repeat(sizes, counts).tolist(), reverse=True):
+            able = [f for f in free if f >= s]
+            if able:
+                free.remove(min(able))
+                free.append(min(able) - s)
+            else:
+                free.append(cap - s)
+        got = [cap - int(sizes[w] @ p) for w, p, t in packing.best_fit(sizes, counts, cap) for _ in range(t)]
+        assert sorted(got) == sorted(free)
+
+
+def test_program_beats_best_fit_where_few_items_share_a_container():
+    rng = np.random.default_rng(1)
+    sizes, counts = np.unique(np.clip(rng.normal(100, 30, 100_000).astype(int), 20, 250), return_counts=True)
+    used, fit = (sum(x[2] for x in p) for p in (packing.plan_containers(sizes, counts, 257)[0], packing.best_fit(sizes, counts, 257)))
+    assert used < 0.99 * fit
+
+
+def test_bound_is_a_bound():
+    sizes, counts = np.array([6, 7]), np.array([40, 40])  # two never fit into 11, so 80 containers
+    assert packing.most_valuable(sizes, np.ones(2), 11) == 1 and packing.most_valuable(sizes, np.array([6.0, 7.0]), 13) == 13
+    assert packing.solve_program(sizes, counts, 11)[2] > 74
 
 
 def test_knapsack_is_best():
