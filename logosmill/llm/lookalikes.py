@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textnorm import C, G, L, SWAP, WORD, CharBatch, consistent, script_of, slices, tables, to_string_array, whole_script_confusable
+from .textnorm import C, G, L, WORD, CharBatch, consistent, look_alike, resolved, script_of, slices, tables, to_string_array, whole_script_confusable
 
 
 @functools.lru_cache(maxsize=100_000)
@@ -21,10 +21,10 @@ def _counts(raw: str) -> tuple[int, int]:
     """Words of several scripts, and words wholly of look-alikes, in a text as delivered."""
     mixed = whole = 0
     for m in WORD.finditer(raw):
-        sets = {s for ch in m[0] if (s := script_of(ch))}
-        if len(sets) > 1:
+        both, _ = resolved(m[0])
+        if not both:
             mixed += 1
-        elif sets and sets <= {G, L, C} and _confusable(m[0]):
+        elif both in (G, L, C) and _confusable(m[0]):
             whole += 1
     return mixed, whole
 
@@ -36,7 +36,7 @@ def _twins() -> np.ndarray:
     out = np.full(65537, G | L | C, np.uint8)
     for o in np.flatnonzero(script).tolist():
         parts = [(ch, s) for ch in ud.normalize("NFD", chr(o)) if (s := script_of(ch))]
-        out[o] = sum(to for to in (G, L, C) if all(s != to and ch in SWAP[s, to] for ch, s in parts))
+        out[o] = sum(to for to in (G, L, C) if all(s != to and look_alike(ch, to) for ch, s in parts))
     return out
 
 

@@ -7,7 +7,11 @@ look-alikes take the script of most letters.
 
 from __future__ import annotations
 
-from .textnorm import CYRILLIC_GREEK, CYRILLIC_LATIN, GREEK_LATIN, LATIN_GREEK
+# Look-alikes of the characters that the tables hold, written out here again so that a wrong pair of the operator shows.
+LATIN_GREEK = {"A": "Α", "B": "Β", "E": "Ε", "Z": "Ζ", "H": "Η", "I": "Ι", "K": "Κ", "M": "Μ", "N": "Ν", "O": "Ο", "P": "Ρ", "T": "Τ", "Y": "Υ", "X": "Χ", "a": "α", "ß": "β", "e": "ε", "i": "ι", "k": "κ", "o": "ο", "p": "ρ", "t": "τ", "u": "υ", "y": "υ", "x": "χ", "v": "ν", "w": "ω"}
+CYRILLIC_GREEK = {"А": "Α", "В": "Β", "Е": "Ε", "З": "Ζ", "Н": "Η", "І": "Ι", "К": "Κ", "М": "Μ", "О": "Ο", "Р": "Ρ", "Т": "Τ", "Х": "Χ", "У": "Υ", "а": "α", "е": "ε", "і": "ι", "к": "κ", "о": "ο", "р": "ρ", "у": "υ", "х": "χ"}
+GREEK_LATIN = {v: k for k, v in LATIN_GREEK.items() if k not in "uß"} | {"β": "ß"}
+CYRILLIC_LATIN = {"А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "а": "a", "е": "e", "ѕ": "s", "і": "i", "ј": "j", "к": "k", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x"}
 
 WIDTHLESS = r"[\x{ad}\x{200b}-\x{200f}\x{2060}\x{feff}]"
 WIDE = "".join(chr(o) for o in range(0xFF01, 0xFF5F)), "".join(chr(o - 0xFEE0) for o in range(0xFF01, 0xFF5F))

@@ -11,9 +11,11 @@ Rules of the consistent form
   quotation marks, dashes and apostrophes stay;
 * blanks become plain spaces, tabs and line breaks stay;
 * characters without width go, a joiner between two emoji stays;
-* the script sets of a word's letters are intersected; where no script is left
-  the word is a mixed confusable and its look-alikes take the script of most
-  of its letters. Words wholly of look-alikes (whole-script confusables) are
+* the script sets (script extensions) of a word's letters are intersected;
+  where no script is left the word is a mixed confusable and its look-alikes
+  take the script of most of its letters. Rare Latin letters that look like
+  ordinary ones (small capitals, script a and g) become them, but for words in
+  phonetic script. Words wholly of look-alikes (whole-script confusables) are
   reported, not changed. On a tie the script that can spell the whole word
   wins, then one that can spell more of it, then the script of most of the
   text's letters. So a second pass changes nothing.
@@ -21,12 +23,14 @@ Rules of the consistent form
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata as ud
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
 # Letters of two scripts that look alike (capital and small).
 GREEK_LATIN = dict(zip("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧαβεικνορτυχω", "ABEZHIKMNOPTYXaßeikvoptuxw"))
@@ -49,6 +53,20 @@ LATIN_CYRILLIC = {
 }
 G, L, C = 1, 2, 4
 SWAP = {(L, G): LATIN_GREEK, (G, L): GREEK_LATIN, (C, G): CYRILLIC_GREEK, (G, C): GREEK_CYRILLIC, (C, L): CYRILLIC_LATIN, (L, C): LATIN_CYRILLIC}
+# Letters of further scripts, and rarer ones of Latin and Cyrillic, that look like a Latin letter.
+LATIN_TWINS = {
+    "Armenian": ("օոսհցզյաՕՏՍԼ", "onuhgqjwOSUL"),
+    "Cherokee": ("ᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏴ", "DRTiAJEWMHYGhZbRWSVSLCPKB"),
+    "Coptic": ("ⲟⲣⲥⲞⲢⲤⲎⲒⲔⲘⲚⲦⲨⲬ", "opcOPCHIKMNTYX"),
+    "Lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "Cyrillic": ("ԁԛԝһѵүԚԜѴԌҮ", "dqwhvyQWVGY"),
+    "Latin": ("ɑɡıᴀʙᴄᴅᴇɢʜɪᴊᴋʟᴍɴᴏᴘʀᴛᴜᴠᴡʏᴢ", "agiabcdeghijklmnoprtuvwyz"),
+}
+TWIN = {a: b for name in LATIN_TWINS for a, b in zip(*LATIN_TWINS[name])}
+#: Scripts beside Greek, Latin and Cyrillic whose letters are told apart, a bit each.
+OTHERS = ("Armenian", "Cherokee", "Coptic", "Lisu", "Georgian", "Hebrew", "Arabic", "Syriac", "Thaana", "Devanagari", "Bengali", "Tamil", "Telugu", "Thai", "Lao", "Tibetan", "Myanmar", "Ethiopic", "Khmer", "Mongolian", "Han", "Hiragana", "Katakana", "Bopomofo", "Hangul", "Gothic", "Runic", "Ogham", "Glagolitic", "Tifinagh", "Nko", "Vai", "Yi")
+BIT = {"Greek": G, "Latin": L, "Cyrillic": C} | {name: 8 << i for i, name in enumerate(OTHERS)}
+OWN_TWINS = {BIT[name]: dict(zip(b, a)) for name, (a, b) in LATIN_TWINS.items() if name not in ("Latin", "Cyrillic")}
 KEPT_FORMS = ("<super>", "<sub>", "<fraction>", "<noBreak>")
 
 
@@ -64,6 +82,29 @@ def script_of(ch: str) -> int:
     return C if 0x400 <= o <= 0x52F else 0
 
 
+@functools.lru_cache(maxsize=20_000)
+def script_set(ch: str) -> int:
+    """The scripts that a letter is used in (its script extensions), a bit each; 0 for signs and letters of all scripts."""
+    if own := script_of(ch):
+        return own
+    if not ch.isalpha():
+        return 0
+    return sum(bit for name, bit in BIT.items() if regex.match(rf"\p{{scx={name}}}", ch))
+
+
+def resolved(word: str) -> tuple[int, dict[int, int]]:
+    """The scripts that all letters of a word share (-1 if it has none that tell), and how many letters each script has."""
+    both, n = -1, {}
+    for ch in word:
+        if sets := script_set(ch):
+            both &= sets
+            while sets:
+                bit = sets & -sets
+                n[bit] = n.get(bit, 0) + 1
+                sets ^= bit
+    return both, n
+
+
 class _CharMap(dict):
     """Code point -> its replacement before composition, found once each."""
 
@@ -108,15 +149,32 @@ def _swap(word: str, to: int) -> tuple[str, bool]:
     """The word with look-alikes in script ``to``; whether all letters are of it now."""
     out, whole = [], True
     for ch in ud.normalize("NFD", word):
-        s = script_of(ch)
-        if s and s != to:
-            new = SWAP.get((s, to), {}).get(ch)
+        sets = script_set(ch)
+        if sets and not sets & to:
+            new = look_alike(ch, to)
             whole &= new is not None
             ch = new or ch
         out.append(ch)
     return ud.normalize("NFC", "".join(out)), whole
 
 
+def look_alike(ch: str, to: int) -> str | None:
+    """The letter of script ``to`` that looks like ch: by a table of the two scripts, else over the Latin letter that both look like."""
+    new = SWAP.get((script_of(ch), to), {}).get(ch)
+    if new is None:
+        latin = ch if script_of(ch) == L else TWIN.get(ch)
+        new = latin if to == L or latin is None else SWAP.get((L, to), OWN_TWINS.get(to, {})).get(latin)
+    return new
+
+
+def _own_twins(word: str) -> str:
+    """A Latin word with ordinary letters in place of rare ones that look like them; words in phonetic script, with letters of their own, stay."""
+    rare = LATIN_TWINS["Latin"][0]
+    if any(ch in rare for ch in word) and all(ch in rare or ord(ch) < 0x250 for ch in ud.normalize("NFD", word) if ch.isalpha()):
+        return "".join(TWIN[ch] if ch in rare and ch != "ı" else ch for ch in word)
+    return word
+
+
 def whole_script_confusable(word: str) -> bool:
     """All letters of one script, and all have look-alikes in one other script."""
     sets = {script_of(ch) for ch in ud.normalize("NFD", word)} - {0}
@@ -151,12 +209,11 @@ def consistent(text: str, totals=None) -> str:
     text = ud.normalize("NFC", text)
     todo = []
     for m in WORD.finditer(text):
-        n = {}
-        for ch in m[0]:
-            if s := script_of(ch):
-                n[s] = n.get(s, 0) + 1
-        if len(n) > 1:
+        both, n = resolved(m[0])
+        if not both:
             todo.append((m.start(), m.end(), n))
+        elif both == L and not m[0].isascii() and _own_twins(m[0]) != m[0]:
+            todo.append((m.start(), m.end(), {L: 1}))
     if not todo:
         return text
     total: dict[int, int] | None = None
@@ -168,7 +225,8 @@ def consistent(text: str, totals=None) -> str:
             total = total or (totals() if totals else script_totals(raw))
             best.sort(key=lambda s: (not _swap(word, s)[1], _swap(word, s)[0] == word, -total.get(s, 0), s))
         best = best[0]
-        parts += [text[at:a], _swap(word, best)[0]]
+        new = _swap(word, best)[0]
+        parts += [text[at:a], _own_twins(new) if best == L else new]
         at = b
     return ud.normalize("NFC", "".join([*parts, text[at:]]))
 

@@ -98,3 +98,16 @@ def test_binary_rows():
     v, off = np.array([1, 2, 3], np.int64), np.array([0, 2, 2, 3])
     x, o = N.unbinary_rows(N.binary_rows(v, off))
     assert x.tolist() == [1, 2, 3] and o.tolist() == [0, 2, 2, 3]
+
+
+@pytest.mark.parametrize(("word", "want"), [
+    ("gօօgle", "google"), ("ɡoogle", "google"), ("Ꭺthens", "Athens"), ("ᴀbc", "abc"), ("ԁоmain", "domain"), ("ꓮΘΗΝΑ", "ΑΘΗΝΑ"), ("հայo", "հայօ"),
+    ("ʃɪp", "ʃɪp"), ("カラー", "カラー"), ("ırmak", "ırmak"), ("東京タワー", "東京タワー"), ("ΚΑΙ", "ΚΑΙ"), ("KAI", "KAI"),
+])
+def test_scripts_beyond_the_three(word, want):
+    assert N.consistent(word) == want and N.consistent(want) == want
+
+
+def test_script_sets():
+    assert N.script_set("a") == N.L and N.script_set("ω") == N.G and N.script_set("1") == 0 and N.script_set("օ") == N.BIT["Armenian"]
+    assert N.script_set("ー") == N.BIT["Hiragana"] | N.BIT["Katakana"] and N.resolved("ラー")[0] == N.BIT["Katakana"] and N.resolved("gօ")[0] == 0
