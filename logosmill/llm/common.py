@@ -35,10 +35,12 @@ def records(spark: SparkSession, sf_dir: str, names=tuple(RECORD_TABLES)) -> Dat
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset (one machine)."""
+    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset on one machine."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="logosmill-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
@@ -55,6 +57,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shared_value(path: str, column: str, **key: int) -> bytes | None:
+    """On an executor: the one value of a table in the shared folder whose key columns have these values; None if there is none."""
+    import pyarrow.dataset as pads
+    from pyarrow import fs
+
+    f, where = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    test = None
+    for k, v in key.items():
+        test = (pads.field(k) == v) if test is None else test & (pads.field(k) == v)
+    t = pads.dataset(where, filesystem=f, format="parquet").to_table(columns=[column], filter=test)
+    return t.column(column)[0].as_py() if t.num_rows else None
+
+
 def hash_sample(df: DataFrame, id_col: str, size: int) -> DataFrame:
     """About ``size`` rows (all, if there are no more), those whose id has the least hashes. Only these rows leave the executors."""
     total = df.count()

@@ -4,18 +4,29 @@ Wu-Manber search over word numbers: every run of ``m`` consecutive words of an
 item is a pattern. Blocks of two words index a shift table; a shift of 0 leads
 to the bucket of the block (the patterns' suffix), and the patterns of the
 bucket are compared word by word. Many stretches of text are searched at once,
-each with its own position.
+each with its own position. Items are dealt out to matchers in the shared folder;
+documents are read and normalised once, whatever the number of items.
 """
 
 from __future__ import annotations
 
+import functools
+import pickle
+import uuid
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .textnorm import CharBatch, mix64, slices, to_string_array, unbinary_rows  # noqa: F401
+from .common import shared_dir, shared_value
+from .textnorm import CharBatch, slices, to_string_array
 
-SHIFT_BITS = 18
+#: Size of the shift table as a power of 2: by the number of blocks of two words, within these.
+SHIFT_BITS = 18, 24
+#: Words of documents that a task holds while the matchers pass.
+HELD_WORDS = 2_000_000
 
 
 class WuManber:
@@ -38,20 +49,20 @@ class WuManber:
             new[1:] = (p[1:] != p[:-1]).any(1)
         self.owner, self.owner_off = own, np.append(np.flatnonzero(new), len(p))
         self.pattern = p[new]
-        self.shift = np.full(1 << SHIFT_BITS, m - 1, np.int16)
+        self.bits = int(np.clip(np.ceil(np.log2(2 * m * max(1, len(self.pattern)))), *SHIFT_BITS))
+        self.shift = np.full(1 << self.bits, m - 1, np.int16)
         for j in range(1, m):
             if len(self.pattern):
                 np.minimum.at(self.shift, self.block(self.pattern[:, j - 1], self.pattern[:, j]), m - 1 - j)
         suffix = self.block(self.pattern[:, -2], self.pattern[:, -1]) if len(self.pattern) else np.zeros(0, np.int64)
         # order within a bucket by the prefix word, as in the original's prefix table
         by = np.lexsort((self.pattern[:, 0], suffix)) if len(self.pattern) else np.zeros(0, np.int64)
-        self.bucket_pattern, self.bucket_off = by, np.searchsorted(suffix[by], np.arange((1 << SHIFT_BITS) + 1))
+        self.bucket_pattern, self.bucket_off = by, np.searchsorted(suffix[by], np.arange((1 << self.bits) + 1))
 
-    @staticmethod
-    def block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def block(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-        return (x >> np.uint64(64 - SHIFT_BITS)).astype(np.int64)
+        return (x >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def search(self, h: np.ndarray, offsets: np.ndarray, stretch: int = 512) -> tuple[np.ndarray, np.ndarray]:
         """(row, pattern) of all occurrences in rows of word hashes; rows are cut into overlapping stretches."""
@@ -101,54 +112,70 @@ def eval_hashes(rows: list[tuple[int, str]]) -> list[tuple[int, np.ndarray]]:
     return [(i, h[a:b]) for (i, _), a, b in zip(rows, off[:-1], off[1:])]
 
 
+@functools.lru_cache(maxsize=2)
+def _matcher(path: str, part: int) -> tuple[WuManber, dict[int, int]] | None:
+    data = shared_value(path, "matcher", part=part)
+    return pickle.loads(zlib.decompress(data)) if data is not None else None
+
+
 def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", item_text: str = "text", words: int = 10, block: int = 5000, whole: bool = False) -> DataFrame:
     """Items of which a document holds at least ``words`` consecutive words.
 
     Columns: doc id, item id, ``windows`` (distinct windows of the item found)
     and ``item_windows`` (windows the item has), one row per (row, item);
     ``whole`` keeps only items that stand wholly in the document. Items are
-    taken in blocks of ``block`` texts, so what is sent to the executors has a
-    bound; each block reads the documents once. Null and empty texts and items
-    under ``words`` words give no rows. Repeated rows give repeated rows; other
-    columns are ignored.
+    dealt out to matchers of about ``block`` texts, files in the shared folder
+    of which a task holds two at a time; they pass over the documents in its
+    memory, which are read once. Null and empty texts and items under ``words``
+    words give no rows. Repeated rows give repeated rows; other columns are
+    ignored.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(docs[doc_id].alias("k"), docs[text_col].alias("t"))
-    small = items.select(items[item_id].cast("bigint").alias("i"), items[item_text].alias("t")).where("t is not null").distinct()
-    schema = f"k {kind}, {item_id} bigint, windows int, item_windows int"
-    out = None
-    held: list[tuple[int, str]] = []
+    small = items.select(items[item_id].cast("bigint").alias("i"), items[item_text].alias("t")).where("t is not null and i is not null").distinct()
+    parts = small.count() // block + 1
 
-    def search(part: list[tuple[int, str]]):
-        wm = WuManber(eval_hashes(part), words)
+    def build(key, table):
+        wm = WuManber(eval_hashes(list(zip(table.column("i").to_pylist(), table.column("t").to_pylist()))), words)
         total = dict(zip(*(x.tolist() for x in np.unique(wm.owner, return_counts=True))))
-
-        def run(batches):
-            for batch in batches:
-                arr = to_string_array(batch.column(1))
-                for a, b in slices(arr, 4_000_000):
-                    cb = CharBatch(arr.slice(a, b - a))
-                    row, pat = wm.search(cb.hashes(), np.searchsorted(cb.word_row, np.arange(b - a + 1)))
-                    if not len(row):
-                        continue
-                    pair = np.unique(np.stack([row, pat], 1), axis=0)
-                    n = wm.owner_off[pair[:, 1] + 1] - wm.owner_off[pair[:, 1]]
-                    r = np.repeat(pair[:, 0], n)
-                    o = wm.owner[np.repeat(wm.owner_off[pair[:, 1]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                    (both, count) = np.unique(np.stack([r, o], 1), axis=0, return_counts=True)
-                    have = np.array([total[x] for x in both[:, 1].tolist()], np.int32)
-                    if whole:
-                        keep = count >= have
-                        both, count, have = both[keep], count[keep], have[keep]
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(both[:, 0])), pa.array(both[:, 1]), pa.array(count.astype(np.int32)), pa.array(have)], ["k", item_id, "windows", "item_windows"])
-
-        return rows.mapInArrow(run, schema)
-
-    for r in small.orderBy("i", "t").toLocalIterator():
-        held.append((r.i, r.t))
-        if len(held) == block:
-            out = search(held) if out is None else out.unionByName(search(held))
-            held = []
-    if held or out is None:
-        out = search(held) if out is None else out.unionByName(search(held))
-    return out.withColumnRenamed("k", doc_id)
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "matcher": pa.array([zlib.compress(pickle.dumps((wm, total), protocol=5), 1)], pa.binary())})
+
+    path = f"{shared_dir(docs.sparkSession)}/wu-manber-{uuid.uuid4().hex}"
+    dealt = small.withColumn("part", F.pmod(F.xxhash64("i"), F.lit(parts)).cast("int"))  # all texts of an item meet in one
+    dealt.groupBy("part").applyInArrow(build, "part int, matcher binary").write.parquet(path)
+
+    def matched(held):
+        for part in range(parts):
+            found = _matcher(path, part)
+            if found is None:
+                continue
+            wm, total = found
+            for ids, h, off in held:
+                row, pat = wm.search(h, off)
+                if not len(row):
+                    continue
+                pair = np.unique(np.stack([row, pat], 1), axis=0)
+                n = wm.owner_off[pair[:, 1] + 1] - wm.owner_off[pair[:, 1]]
+                r = np.repeat(pair[:, 0], n)
+                o = wm.owner[np.repeat(wm.owner_off[pair[:, 1]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                (both, count) = np.unique(np.stack([r, o], 1), axis=0, return_counts=True)
+                have = np.array([total[x] for x in both[:, 1].tolist()], np.int32)
+                if whole:
+                    keep = count >= have
+                    both, count, have = both[keep], count[keep], have[keep]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(both[:, 0])), pa.array(both[:, 1]), pa.array(count.astype(np.int32)), pa.array(have)], ["k", item_id, "windows", "item_windows"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            arr = to_string_array(batch.column(1))
+            for a, b in slices(arr, 4_000_000):
+                cb = CharBatch(arr.slice(a, b - a))
+                held.append((batch.column(0).slice(a, b - a), cb.hashes(), np.searchsorted(cb.word_row, np.arange(b - a + 1))))
+                size += len(cb.start)
+                if size > HELD_WORDS:
+                    yield from matched(held)
+                    held, size = [], 0
+        yield from matched(held)
+
+    return rows.mapInArrow(run, f"k {kind}, {item_id} bigint, windows int, item_windows int").withColumnRenamed("k", doc_id)
