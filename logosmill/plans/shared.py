@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only where that is unset (one machine)."""
+    """spark.checkpoint.dir of the session; a temporary folder only where that is unset on one machine."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="logosmill-core-")
         atexit.register(shutil.rmtree, base, True)
         spark.conf.set("spark.checkpoint.dir", base)
