@@ -243,7 +243,8 @@ def plans(tokens: DataFrame, specs: list[tuple[int, int, int]]) -> DataFrame:
         full = int(pdf["full"].sum())
         return pd.DataFrame({"spec_id": [int(pdf["spec_id"].iloc[0])], "plan": [pickle.dumps((sizes, places))], "containers": [places.total + full], "bound": [bound + full]})
 
-    return hist.groupBy("spec_id").applyInPandas(solve, "spec_id int, plan binary, containers bigint, bound double")
+    dealt = hist.repartition(8 * len(specs), "spec_id")  # small tables, but plans take time: they are not to share a task
+    return dealt.groupBy("spec_id").applyInPandas(solve, "spec_id int, plan binary, containers bigint, bound double")
 
 
 def _per_spec(tokens: DataFrame, specs: list[tuple[int, int, int]]) -> DataFrame:
