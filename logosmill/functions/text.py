@@ -1,14 +1,14 @@
-"""Text functions as columns. All run inside the JVM but ``unescape_all``."""
+"""Text functions as columns. All run inside the JVM."""
 
 from __future__ import annotations
 
 import html
+import json
 import re
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from . import lexicon as X
 
@@ -39,10 +39,39 @@ def unescape(c: Column) -> Column:
     return c
 
 
-@F.pandas_udf(StringType())
-def unescape_all(s: pd.Series) -> pd.Series:
-    """Every HTML5 entity, Arrow batches."""
-    return s.map(lambda x: x if x is None or "&" not in x else html.unescape(x))
+#: An entity as HTML 5 reads it: a number, or a name of up to 32 characters.
+ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names that end with a semicolon, and those that count without one; the table is that of Python's library.
+NAMED = {k: v for k, v in html5.items() if k.endswith(";")}
+SHORT = {k: v for k, v in html5.items() if not k.endswith(";")}
+SHORT_NAME = "^(" + "|".join(sorted(SHORT, key=lambda k: (-len(k), k))) + ")"
+#: Numbers that stand for another character (those of an old code page) or for none.
+RENUMBERED = {n: html.unescape(f"&#{n};") for n in (*range(0xA0), 0xD800, 0x110000) if html.unescape(f"&#{n};") != (chr(n) if n < 0x110000 else "")}
+
+
+def _numbered(n: Column) -> Column:
+    """The character of an entity's number."""
+    void = (n.between(0xFDD0, 0xFDEF)) | (n % 65536 >= 65534)
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    out = F.when(n.isNull() | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(void, "").otherwise(char)
+    moved = F.from_json(F.lit(json.dumps({str(k): v for k, v in RENUMBERED.items() if k < 0xA0})), "map<string,string>")
+    return F.coalesce(F.try_element_at(moved, n.cast("string")), out)
+
+
+def _entity(e: Column) -> Column:
+    s = F.substring(e, F.lit(2), F.length(e) - 1)
+    hexed, digits = F.regexp_extract(s, "^#[xX]0*([0-9a-fA-F]*)", 1), F.regexp_extract(s, "^#0*([0-9]*)", 1)
+    number = F.when(s.rlike("^#[xX]"), F.when(F.length(hexed) <= 8, F.conv(F.concat(F.lit("0"), hexed), 16, 10).cast("bigint"))).otherwise(F.when(F.length(digits) <= 9, F.concat(F.lit("0"), digits).cast("bigint")))
+    table = lambda d: F.from_json(F.lit(json.dumps(d)), "map<string,string>")
+    name = F.regexp_extract(s, SHORT_NAME, 1)
+    short = F.when(name != "", F.concat(F.try_element_at(table(SHORT), name), F.substring(s, F.length(name) + 1, F.length(s))))
+    return F.when(s.startswith("#"), _numbered(number)).otherwise(F.coalesce(F.try_element_at(table(NAMED), s), short, e))
+
+
+def unescape_all(c: Column) -> Column:
+    """Every entity of HTML 5, each once, as one reads a page; within the JVM."""
+    found, between = F.regexp_extract_all(c, F.lit(ENTITY), F.lit(0)), F.split(c, ENTITY, -1)
+    return F.array_join(F.zip_with(between, F.transform(found, _entity), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
 def strip_accents(c: Column) -> Column:

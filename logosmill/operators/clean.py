@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
-from ..functions.text import BLANKS, count, greek_letters, letters, repair_word, strip, strip_edges, unescape, unescape_all, when_has
+from ..functions.text import BLANKS, count, greek_letters, letters, repair_word, strip, strip_edges, unescape_all, when_has
 
 WORDCH = r"[\p{L}\p{N}_]"
 #: An address starts and ends at a word boundary in the Unicode sense.
@@ -85,10 +85,10 @@ def density_checks(line: Column, ws: Column) -> list[tuple[str, Column]]:
     ]
 
 
-def _stages(full_entities: bool) -> list[tuple[str, str, callable]]:
+def _stages() -> list[tuple[str, str, callable]]:
     """(new column, column it comes from, function): each stage is a projection of its own, so nothing is computed twice."""
     return [
-        ("_1", "raw", lambda c: when_has(c, ("&",), (unescape_all if full_entities else unescape)(c))),
+        ("_1", "raw", lambda c: when_has(c, ("&",), unescape_all(c))),
         ("_2", "_1", normalise_symbols),
         ("_3", "_2", lambda c: when_has(c, ("http", "www."), F.regexp_replace(c, X.URL, ""))),
         ("_4", "_3", lambda c: when_has(c, ("@",), F.regexp_replace(c, EMAIL, ""))),
@@ -102,7 +102,7 @@ def _stages(full_entities: bool) -> list[tuple[str, str, callable]]:
     ]
 
 
-def cascade(df: DataFrame, line_col: str = "line", full_entities: bool = False) -> DataFrame:
+def cascade(df: DataFrame, line_col: str = "line") -> DataFrame:
     """``raw`` (the line as it came), ``clean`` (null if dropped) and ``drop_reason`` (null if kept) beside the other columns.
 
     Null and empty lines drop as ``empty``. The stages are projections of
@@ -112,7 +112,7 @@ def cascade(df: DataFrame, line_col: str = "line", full_entities: bool = False)
     rest = [c for c in df.columns if c != line_col]
     have = [*rest, "raw"]
     rows = df.select(*rest, F.col(line_col).alias("raw"))
-    for new, old, f in _stages(full_entities):
+    for new, old, f in _stages():
         rows = rows.select(*have, f(F.col(old)).alias(new))
         have.append(new)
     latin = F.col("_c").rlike("[A-Za-z]")  # words without Latin letters need no repair

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
+from ..functions.text import ENTITY, NAMED, RENUMBERED, SHORT, SHORT_NAME
 from ..sources.readers import sentence_pairs, split_lines
 
 #: Sources of lines and their priority.
@@ -123,15 +124,33 @@ GREEK_SQL = lambda c: count_sql(f"regexp_replace({c}, '[^\\p{{L}}]', '', 'g')",
 LETTERS_SQL = lambda c: count_sql(c, r"\p{L}")
 
 
+def _map_sql(d: dict) -> str:
+    return "map {" + ", ".join(f"{q(k) if isinstance(k, str) else k}: {q(v)}" for k, v in d.items()) + "}"
+
+
+def unescape_sql(c: str) -> str:
+    """Every HTML 5 entity of a text."""
+    s, e = "substr(e, 2)", "e"
+    number = f"case when regexp_matches({s}, '^#[xX]') then try_cast(concat('0x0', regexp_extract({s}, '^#[xX]0*([0-9a-fA-F]*)', 1)) as bigint) else try_cast(concat('0', regexp_extract({s}, '^#0*([0-9]*)', 1)) as bigint) end"
+    renumbered = {k: v for k, v in RENUMBERED.items() if k < 0xA0}
+    numbered = (
+        f"list_transform([{number}], lambda n: coalesce({_map_sql(renumbered)}[n], case when n is null or n > 1114111 or n between 55296 and 57343 then chr(65533) "
+        "when n between 64976 and 65007 or n % 65536 >= 65534 then '' else chr(n::integer) end))[1]"
+    )
+    name = f"regexp_extract({s}, {q(SHORT_NAME)}, 1)"
+    named = f"coalesce({_map_sql(NAMED)}[{s}], case when {name} <> '' then concat({_map_sql(SHORT)}[{name}], substr({s}, length({name}) + 1)) else {e} end)"
+    found, between = f"regexp_extract_all({c}, {q(ENTITY)})", f"string_split_regex({c}, {q(ENTITY)})"
+    read = f"list_transform({found}, lambda e: case when starts_with({s}, '#') then {numbered} else {named} end)"
+    return f"case when contains({c}, '&') then list_reduce(list_transform(list_zip({between}, {read}), lambda p: concat(p[1], coalesce(p[2], ''))), lambda a, b: concat(a, b)) else {c} end"
+
+
 def cascade_sql(lines: str) -> str:
     """The whole cleaning of a relation with priority, doc_id, line_no, source, line."""
     r = lambda c, p, to="": f"regexp_replace({c}, {q(p)}, {q(to)}, 'g')"
-    line = "line"
-    for entity, char in X.ENTITIES:
-        line = f"replace({line}, {q(entity)}, {q(char)})"
     keep = "priority, doc_id, line_no, source, raw"
     email = rf"(^|[^\p{{L}}\p{{N}}_])[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9.-]+\.[A-Z|a-z]{{2,}}"
-    a = f"select priority, doc_id, line_no, source, line as raw, {r(r(r(f'translate({line}, {q(X.SYMBOLS_FROM)}, {q(X.SYMBOLS_TO)})', X.URL), email, chr(92) + '1'), X.CUE)} as a from ({lines}) l0"
+    read = f"select priority, doc_id, line_no, source, line as raw, {unescape_sql('line')} as line from ({lines}) l00"
+    a = f"select priority, doc_id, line_no, source, raw, {r(r(r(f'translate(line, {q(X.SYMBOLS_FROM)}, {q(X.SYMBOLS_TO)})', X.URL), email, chr(92) + '1'), X.CUE)} as a from ({read}) l0"
     marks = r(r(r("a", X.BRACKETED), X.SPEAKER), X.NUMBERING)
     b = f"""select {keep}, a, translate({marks}, {q(';?«»“”’`')}, {q(';;' + '"' * 4 + "''")}) as b from ({a}) l1"""
     e = r("replace(b, '…', '...')", r"\.{2,}", "...")

@@ -10,7 +10,7 @@ from ..functions import text as T
 from ..functions.dialect import Ansi
 from ..operators import audit, clean, corrupt, dedup, logs, metrics, model_meta, sequence, split, vocab
 from ..sources import readers
-from .base import CAPS, CORPUS_SQL, GREEK_SQL, LETTERS_SQL, LINES_SQL, ORDER, SOURCE_SQL, SOURCES, all_lines, cascade_sql, corpus, count_sql, edges_sql, lower_sql, plain_sql, q, source_lines, strip_sql, table, words_sql
+from .base import CAPS, CORPUS_SQL, GREEK_SQL, LETTERS_SQL, LINES_SQL, ORDER, SOURCE_SQL, SOURCES, all_lines, cascade_sql, corpus, count_sql, edges_sql, lower_sql, plain_sql, q, source_lines, strip_sql, table, unescape_sql, words_sql
 from .shared import written
 
 QUERIES: dict = {}
@@ -80,6 +80,12 @@ def html_unescape_bounded(spark, sf_dir):
     return all_lines(spark, sf_dir).where(F.col("line").contains("&")).select("doc_id", "line_no", "source", T.unescape(F.col("line")).alias("line"))
 
 
+@query(f"select doc_id, line_no, source, {unescape_sql('line')} as line from ({LINES_SQL}) l where contains(line, '&')")
+def html_unescape(spark, sf_dir):
+    """Every HTML 5 entity."""
+    return all_lines(spark, sf_dir).where(F.col("line").contains("&")).select("doc_id", "line_no", "source", T.unescape_all(F.col("line")).alias("line"))
+
+
 @query(f"select doc_id, line_no, source, translate(line, {q(X.SYMBOLS_FROM)}, {q(X.SYMBOLS_TO)}) as line from ({LINES_SQL}) l")
 def normalise_symbols(spark, sf_dir):
     return all_lines(spark, sf_dir).select("doc_id", "line_no", "source", clean.normalise_symbols(F.col("line")).alias("line"))

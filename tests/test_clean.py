@@ -64,3 +64,15 @@ def test_small_functions(spark):
     assert one(T.unescape_all(F.lit("&lt;&Auml;&#960;&amp;lt;"))) == "<Äπ&lt;"
     p = one(T.softmax(F.array(F.lit(1.0), F.lit(2.0), F.lit(700.0))))
     assert abs(sum(p) - 1) < 1e-12 and p[2] > 0.99
+
+
+def test_entities_as_the_library_reads_them(spark):
+    import html
+    import random
+
+    rng = random.Random(1)
+    cases = ["&" + n for n in html.entities.html5] + [f"&#{n};" for n in (*range(300), 0xD800, 0xFDD0, 0xFFFE, 0x1F600, 0x10FFFF, 0x110000, 10**12)] + [f"&#x{n:x}" for n in (*range(300), 0x110000, 0xFFFFFFFFFF)]
+    cases += ["&notit;", "&notin;", "&amp;lt;", "&", "& amp;", "&#;", "&#x;", "&αβγ;", "&AMPx", "&#00065;"]
+    cases += ["".join(rng.choice(["&amp;", "&lt", "&#65", "&#x3b1;", "a", "é", ";", "&", "#", " ", "&eacute;", "&copy"]) for _ in range(12)) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in cases], "x string")
+    assert [(r.x, r.y) for r in df.select("x", T.unescape_all(F.col("x")).alias("y")).collect() if r.y != html.unescape(r.x)] == []
