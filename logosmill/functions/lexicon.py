@@ -107,3 +107,14 @@ LAYER_TENSORS = {
 }
 # Stems of parameter names without weight decay.
 UNDECAYED = "bias|layer_norm|layernorm|rms_norm"
+
+#: Sentences of our own that stand in where no source gives a line.
+FALLBACK = [
+    "Το πρωί άνοιξε το παράθυρο και μπήκε καθαρός αέρας.", "Ποιος άφησε τα κλειδιά πάνω στο τραπέζι;", "Αύριο θα ανέβουμε μαζί στο βουνό.", "Η γάτα κοιμάται δίπλα στη σόμπα.",
+    "Μου αρέσει να διαβάζω όταν βρέχει.", "Θα σε περιμένω έξω από τον σταθμό.", "Το ψωμί βγήκε μόλις από τον φούρνο.", "Δεν βρήκα κανέναν στο γραφείο σήμερα.",
+    "Πες μου αν χρειάζεσαι βοήθεια.", "Το καράβι φεύγει νωρίς το απόγευμα.", "Οι μαθητές έγραψαν μια μικρή ιστορία.", "Πόσο κοστίζει αυτό το βιβλίο;",
+    "Έχασα το λεωφορείο και ήρθα με τα πόδια.", "Η συνάντηση αναβλήθηκε για την άλλη εβδομάδα.", "Φέρε μου λίγο νερό, σε παρακαλώ.", "Το χωριό μας έχει μια παλιά βρύση.",
+    "Κάθε καλοκαίρι κολυμπάμε στην ίδια ακτή.", "Νομίζω ότι έχεις δίκιο.", "Το φαγητό ήταν πολύ νόστιμο, ευχαριστούμε.", "Γιατί δεν μου το είπες νωρίτερα;",
+]
+#: Control pieces of the vocabulary, beside the usual ones.
+CONTROL = [BAD, GOOD, END]

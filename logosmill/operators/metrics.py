@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import let, perplexity, softmax, strip_accents
+from ..functions import lexicon as X
+from ..functions.text import let, perplexity, softmax, strip_accents, words
 
 
 def top_k(df: DataFrame, id_col: str, logits_col: str, k: int = 5, masked: int = 0) -> DataFrame:
@@ -61,3 +62,9 @@ def epoch_loss(df: DataFrame, epoch: str, loss: str) -> DataFrame:
 def suggestions(top: DataFrame, id_col: str, show: int = 3) -> DataFrame:
     """The first few of the likeliest tokens as a suggestion bar."""
     return top.where(F.col("rank") <= show).groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("rank", "token"))).alias("s")).select(id_col, F.col("s.token").alias("tokens"))
+
+
+def autocorrect_inputs(df: DataFrame, text_col: str) -> DataFrame:
+    """Rows whose text is exactly one word, with the ``prompt`` that asks for its correction; other rows and null texts drop out."""
+    ws = words(F.col(text_col))
+    return df.where(F.size(ws) == 1).withColumn("prompt", F.concat(F.lit(X.BAD), F.element_at(ws, 1), F.lit(X.GOOD)))

@@ -686,13 +686,6 @@ def read_samples_by_type(spark, sf_dir):
     return table(spark, sf_dir, "typo_samples").groupBy("error_type").agg(F.count("*").alias("n"), F.countDistinct("target_word").alias("words"))
 
 
-@query()
-def fallback_corpus(spark, sf_dir):
-    """Picks from the corpus's own shortest sentences, for when no source gives anything."""
-    pool = [r.line for r in audit.shortest(clean.cleaned(source_lines(spark, sf_dir, "literature")), ORDER, 20).select("line").collect()]
-    return readers.fallback_lines(spark, pool or [""], 10_000)
-
-
 @query(f"select source, doc_id, line_no, line from ({CORPUS_SQL}) c order by priority, doc_id, line_no limit 500")
 def first_lines(spark, sf_dir):
     """The first 500 lines in order of arrival."""

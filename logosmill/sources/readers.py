@@ -21,8 +21,10 @@ def sentence_pairs(df: DataFrame, id_col: str, source: str, priority: int, langu
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
-    """Non-blank lines of text files, stripped, with the file and the line's place in it (``file``, ``line``)."""
-    raw = spark.read.option("pathGlobFilter", pattern).text(path).select(F.col("_metadata.file_path").alias("file"), strip(F.replace(F.expr("make_valid_utf8(value)"), F.lit("�"), F.lit(""))).alias("line"))
+    """Non-blank lines of text files, stripped, with their file (``file``, ``line``). Broken bytes drop out."""
+    mark, hidden = F.lit("\ufffd"), F.lit("\ufdd0")  # what stands for broken bytes, and what keeps such marks of the file apart
+    text = F.replace(F.replace(F.make_valid_utf8(F.replace("value", mark, hidden)), mark, F.lit("")), hidden, mark)
+    raw = spark.read.option("pathGlobFilter", pattern).text(path).select(F.col("_metadata.file_path").alias("file"), strip(text).alias("line"))
     return raw.where("line <> ''")
 
 
@@ -47,7 +49,10 @@ def read_samples(spark: SparkSession, path: str, most: int | None = 500) -> Data
     """Records of a correction benchmark (JSON, one a line); the first ``most`` in the order of the files."""
     schema = "context string, corrupted_word string, target_word string, error_type string, full_sequence string"
     rows = spark.read.schema(schema).json(path)
-    return rows.limit(most) if most else rows
+    if not most:
+        return rows
+    place = [F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i")]
+    return rows.select("*", *place).orderBy("_f", "_b", "_i").limit(most).drop("_f", "_b", "_i")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -62,6 +67,12 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fallback_lines(spark: SparkSession, sentences: list[str], count: int, seed: int = 42) -> DataFrame:
-    """``count`` picks from a list of sentences, for when nothing else was read."""
+    """(seq, line): ``count`` picks from a list of sentences, by hash of their number."""
     pool = F.array(*[F.lit(s) for s in sentences])
-    return spark.range(count).select(F.col("id").alias("seq"), F.element_at(pool, F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(len(sentences))).cast("int") + 1).alias("line"))
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("id").cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return spark.range(count).select(F.col("id").alias("seq"), F.element_at(pool, (draw % len(sentences)).cast("int") + 1).alias("line"))
+
+
+def or_fallback(lines: DataFrame, sentences: list[str], count: int, seed: int = 42) -> DataFrame:
+    """The lines, or where there are none ``count`` picks from the sentences."""
+    return lines if not lines.isEmpty() else fallback_lines(lines.sparkSession, sentences, count, seed)

@@ -23,6 +23,8 @@ def test_manifest_and_log(spark, tmp_path):
     (tmp_path / "log/t.log").write_text("a\nb")
     assert readers.read_log(spark, str(tmp_path / "log")).first().text == "a\nb"
     assert readers.fallback_lines(spark, ["α", "β"], 50).where(F.col("line").isin("α", "β")).count() == 50
+    some = spark.createDataFrame([("γ",)], "line string")
+    assert readers.or_fallback(some, ["α"], 9).count() == 1 and readers.or_fallback(some.limit(0), ["α"], 9).count() == 9 and len(set(X.FALLBACK)) == 20
 
 
 def test_writers(spark, tmp_path):
@@ -34,8 +36,11 @@ def test_writers(spark, tmp_path):
     assert readers.read_samples(spark, str(tmp_path / "j")).first().target_word == "ά"
     writers.write_tokenizer_config(str(tmp_path / "t"))
     assert json.loads((tmp_path / "t/special_tokens_map.json").read_text())["pad_token"] == "<pad>"
-    stats = {"totals": {"lines": 1000, "words": 2, "chars": 3, "words_per_line": 0.002, "vocabulary": 2}, "characters": {"greek": 3}, "accents": {"polysyllabic": 10, "accented": 9, "accent_ratio": 0.9}, "top_words": [("και", 5)], "shortest": [(1, "α")], "longest": []}
+    config = json.loads((tmp_path / "t/tokenizer_config.json").read_text())
+    assert config["additional_special_tokens"] == [X.BAD, X.GOOD, X.END] and config["add_bos_token"] and not config["add_eos_token"] and config["tokenizer_class"]
+    stats = {"totals": {"lines": 1000, "words": 2, "chars": 3, "words_per_line": 0.002, "vocabulary": 2}, "characters": {"greek": 3}, "accents": {"polysyllabic": 10, "accented": 9, "accent_ratio": 0.9}, "top_words": [("και", 5)], "shortest": [(1, "α")], "longest": [], "unaccented": [("μπορω", 3)], "least_greek": [(0.125, "abc α")]}
     assert "1,000" in writers.markdown_report(stats, "x") and "pass" in writers.markdown_report(stats, "x")
+    assert all(x in writers.markdown_report(stats, "x") for x in ("μπορω (3)", "12.5 %: abc α", "greek: 3 (100.00 %)"))
 
 
 def test_stream_dedup(spark, tmp_path):
