@@ -1,11 +1,9 @@
-"""The few functions that Spark SQL and ANSI engines spell differently, so that one text serves both."""
+"""The longer expressions that the text of the corruption steps repeats."""
 
 from __future__ import annotations
 
 
 class Spark:
-    name = "spark"
-
     @staticmethod
     def at(lst: str, i: str) -> str:
         return f"element_at({lst}, cast({i} as int))"
@@ -62,63 +60,3 @@ class Spark:
     def pinned(relation: str, columns: str) -> str:
         """The columns passed through a generator: later filters are not pushed below it, where they would repeat all steps."""
         return f"select o.* from (select explode(array(struct({columns}))) as o from ({relation}) p0) p1"
-
-
-class Ansi(Spark):
-    name = "ansi"
-
-    @staticmethod
-    def at(lst: str, i: str) -> str:
-        return f"({lst})[{i}]"
-
-    @staticmethod
-    def filter(lst: str, v: str, body: str) -> str:
-        return f"list_filter({lst}, lambda {v}: {body})"
-
-    @staticmethod
-    def size(lst: str) -> str:
-        return f"len({lst})"
-
-    @staticmethod
-    def seq(a: str, b: str) -> str:
-        return f"range({a}, {b} + 1)"
-
-    @staticmethod
-    def slice(lst: str, a: str, n: str) -> str:
-        return f"list_slice({lst}, {a}, {a} + {n} - 1)"
-
-    @staticmethod
-    def array(items: list[str]) -> str:
-        return f"[{', '.join(items)}]"
-
-    @staticmethod
-    def draw(key: str, salt: str) -> str:
-        return f"concat('0x', substr(md5(concat({key}, '|{salt}')), 1, 8))::BIGINT"
-
-    @staticmethod
-    def words(text: str, w: str) -> str:
-        return f"list_filter(regexp_split_to_array({text}, '{w}+'), lambda x: x <> '')"
-
-    @staticmethod
-    def strip(text: str, w: str) -> str:
-        return f"regexp_replace({text}, '^{w}+|{w}+$', '', 'g')"
-
-    @staticmethod
-    def group(text: str, pattern: str, i: int) -> str:
-        return f"regexp_extract({text}, '{pattern}', {i})"
-
-    @staticmethod
-    def matches(text: str, pattern: str) -> str:
-        return f"regexp_matches({text}, '{pattern}')"
-
-    @staticmethod
-    def edges(text: str, chars: str) -> str:
-        return f"trim({text}, '{chars}')"
-
-    @staticmethod
-    def join(lst: str) -> str:
-        return f"array_to_string({lst}, ' ')"
-
-    @staticmethod
-    def pinned(relation: str, columns: str) -> str:
-        return f"select {columns} from ({relation}) p0"

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
 from ..functions import text as T
-from ..functions.dialect import Ansi
 from ..operators import audit, clean, corrupt, dedup, logs, metrics, model_meta, sequence, split, vocab
 from ..sources import readers
 from .base import CAPS, CORPUS_SQL, GREEK_SQL, LETTERS_SQL, LINES_SQL, ORDER, SOURCE_SQL, SOURCES, all_lines, cascade_sql, corpus, count_sql, edges_sql, lower_sql, plain_sql, q, source_lines, strip_sql, table, unescape_sql, words_sql
 from .shared import written
+from .typo_oracle import typos_sql
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -395,7 +395,7 @@ def homophone_candidates(spark, sf_dir):
 
 
 _SENTENCES = f"select concat(cast(doc_id as varchar), '-', cast(line_no as varchar), '-', source) as id, line as sentence from ({CORPUS_SQL}) c"
-_TYPOS = corrupt.stage_sql(Ansi, f"({_SENTENCES}) sentences")
+_TYPOS = typos_sql(f"({_SENTENCES}) sentences")
 
 
 def _typos(spark, sf_dir):
@@ -707,7 +707,7 @@ _USE, _PLAIN = int(0.30 * 2**32), int(0.35 * 2**32)
 
 
 @query(
-    f"with t as ({_TYPOS}), l as (select id, sentence as line, {Ansi.draw('''concat('42-', id)''', 'use')} as u, {Ansi.draw('''concat('42-', id)''', 'plain')} as p from ({_SENTENCES}) s) "
+    f"with t as ({_TYPOS}), l as (select id, sentence as line, concat('0x', substr(md5(concat('42-', id, '|use')), 1, 8))::BIGINT as u, concat('0x', substr(md5(concat('42-', id, '|plain')), 1, 8))::BIGINT as p from ({_SENTENCES}) s) "
     f"select l.id, case when u < {_USE} and full_sequence is not null then full_sequence when u >= {_USE} and p < {_PLAIN} then {plain_sql('line')} else line end as text, u < {_USE} and full_sequence is not null as is_prompt from l left join t on l.id = t.id"
 )
 def training_texts(spark, sf_dir):

@@ -72,6 +72,14 @@ def test_correction_samples(spark):
     assert len(e) == 10 and len({(r.context, r.corrupted_word, r.target_word) for r in e}) == 10
 
 
+def test_shares_of_errors(spark):
+    """Words with an accent, keys and sounds of one spelling: the kinds fall to 50, 30, 10 and 10 percent."""
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("α β ελπίδα").alias("line"))
+    n = {r.error_type: r["count"] / 20_000 for r in corrupt.correction_samples(df, "id").groupBy("error_type").count().collect()}
+    total = sum(n.values())  # a slip may give the word itself
+    assert total > 0.95 and abs(n["accent_strip"] - 0.5) < 0.015 and abs(n["adjacency"] - 0.3) < 0.015 and abs(n["homophone"] - 0.1) < 0.01 and 0.08 < n["dynamics"] < 0.11
+
+
 def test_sequences(spark):
     df = spark.createDataFrame([("a", [9, 5, 8, 6], True), ("b", list(range(7, 400)), True), ("c", None, False), ("d", [9], False)], "id string, ids array<int>, m boolean")
     got = {r.id: r for r in sequence.pack_sequences(df, masked_col="m").collect()}
