@@ -47,6 +47,9 @@ TEXTS = {
 }
 
 
+SENTENCE_TABLES = ("conv_sentences", "lit_sentences")
+
+
 def _alike(tables: tuple[str, ...], where: str) -> str:
     rows = " union all ".join(TEXTS[t] for t in tables)
     return (
@@ -59,6 +62,35 @@ def _alike(tables: tuple[str, ...], where: str) -> str:
     )
 
 
+def _groups() -> str:
+    """Least record of each connected group of alike records, and how many other texts (word sets) each text is alike to."""
+    rows = " union all ".join(TEXTS[t] for t in SENTENCE_TABLES)
+    return (
+        f"with recursive pairs as materialized ({_alike(SENTENCE_TABLES, 'true')}), "
+        f"t as materialized (select rec_id, list_sort(list_distinct({words_sql('text')})) as ws from (select distinct rec_id, text from ({rows}) a where text <> '') b), "
+        "k as materialized (select rec_id, min(rec_id) over (partition by ws) as rep from t where len(ws) >= 10), "
+        "l as (select distinct a.rep as x, b.rep as y from pairs p join k a on a.rec_id = p.id_a join k b on b.rec_id = p.id_b where a.rep <> b.rep), "
+        "n as (select rep, count(distinct other) as links from (select x as rep, y as other from l union all select y, x from l) m group by rep), "
+        "e as materialized (select id_a as u, id_b as v from pairs union all select id_b, id_a from pairs), "
+        "g as (select rec_id as id, rec_id as root from t union select g.id, e.v from g join e on e.u = g.root) "
+        "select t.rec_id, min(g.root) as group_id, coalesce(min(n.links), 0) as links from t join g on g.id = t.rec_id left join k on k.rec_id = t.rec_id left join n on n.rep = k.rep group by t.rec_id"
+    )
+
+
+def _quality() -> str:
+    """The plain statistics of each record; lines are told by what is left of them in the consistent form."""
+    rows = " union all ".join(TEXTS[t] for t in ("conv_sentences", "wiki_articles"))
+    clean = f"translate(regexp_replace(coalesce(text, ''), '{WIDTHLESS}', '', 'g'), {q(WIDE[0])}, {q(WIDE[1])})"
+    blank = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    lines = f"list_filter(list_transform(string_split({clean}, chr(10)), lambda x: regexp_replace(x, '{blank}+$', '')), lambda x: x <> '')"
+    stops = "'[.;!?…·»\"”)\\]:,'']$'"
+    return (
+        f"select rec_id, len(ws) as words, round(case when len(ws) > 0 then list_sum(list_transform(ws, lambda w: length(w)))::DOUBLE / len(ws) else 0 end, 6) as mean_word_length, "
+        f"len(ls) as lines, round(case when len(ls) > 0 then len(list_filter(ls, lambda x: regexp_matches(x, {stops})))::DOUBLE / len(ls) else 0 end, 6) as stop_line_share "
+        f"from (select rec_id, {words_sql('text')} as ws, {lines} as ls from (select distinct rec_id, coalesce(text, '') as text from ({rows}) a) b) c"
+    )
+
+
 def _windows(rel: str, key: str) -> str:
     return f"select distinct {key}, unnest(list_transform(range(1, len(ws) - 8), lambda k: array_to_string(list_slice(ws, k, k + 9), ' '))) as g from (select {key}, {words_sql('text')} as ws from {rel} where text is not null) a where len(ws) >= 10"
 
@@ -87,4 +119,11 @@ ORACLE = {
     "round(actual_size / whole, 6) as share_of_target_size, max_used from (select mix_id, source as source_name, min(size_unit) as size_unit, min(target_share) as target_share, min(budget) as budget, "
     "sum(times * size)::BIGINT as actual_size, min(every * total_factor) as whole, cast(max(times) as integer) as max_used from t group by mix_id, source) z",
     "p8_found": f"select distinct doc_id, item_id from ({_windows('documents', 'doc_id')}) d join ({_windows('eval_items', 'item_id')}) i using (g)",
+    "p3_groups": _groups(),
+    "p6_ratios": _quality(),
+    "p8_report": f"with d as materialized ({_windows('documents', 'doc_id')}), i as materialized ({_windows('eval_items', 'item_id')}), "
+    "h as (select doc_id, item_id, count(*) as n from d join i using (g) group by doc_id, item_id), w as (select item_id, count(*) as n from i group by item_id) "
+    "select suite, source, count(distinct h.item_id) as items, count(distinct h.doc_id) as documents, count(distinct case when h.n = w.n then h.doc_id end) as whole_documents "
+    "from h join w on w.item_id = h.item_id join documents o on o.doc_id = h.doc_id join (select distinct item_id, suite from eval_items) s on s.item_id = h.item_id group by suite, source",
 }
+ORACLE["p1_shards"] = ORACLE["p1_found"]

@@ -12,6 +12,7 @@ from .common import load, records, written
 from .oracles import ORACLE
 
 PROSE_TABLES = ("conv_sentences", "wiki_articles")
+SMALL_SHARD = 100_000
 SENTENCE_TABLES = ("conv_sentences", "lit_sentences")
 
 
@@ -25,6 +26,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("train_id", "eval_id").alias("id_a"), F.greatest("train_id", "eval_id").alias("id_b")).distinct()
 
 
+def p1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with small shards, so that records are routed to several indexes at any but the smallest scale."""
+    pairs = overlap.overlap_pairs(*overlap.split_overlaps(records(spark, sf_dir), shard_words=SMALL_SHARD))
+    return pairs.select(F.least("train_id", "eval_id").alias("id_a"), F.greatest("train_id", "eval_id").alias("id_b")).distinct()
+
+
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per evaluation split and source table of the evaluation record: overlapping pairs, evaluation records concerned, and how much maximal matches cover."""
     rows = records(spark, sf_dir)
@@ -98,6 +105,12 @@ def p6_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.text_quality(records(spark, sf_dir, PROSE_TABLES), common_words(spark, sf_dir)).dropDuplicates(["rec_id"])
 
 
+def p6_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics of p6_stats that SQL can follow."""
+    stats = quality.text_quality(records(spark, sf_dir, PROSE_TABLES), common_words(spark, sf_dir)).dropDuplicates(["rec_id"])
+    return stats.select("rec_id", "words", F.round("mean_word_length", 6).alias("mean_word_length"), "lines", F.round("stop_line_share", 6).alias("stop_line_share"))
+
+
 def vocabulary_path() -> str:
     """The vocabulary file of p7: LOGOSMILL_VOCABULARY, or the container's copy of a public one."""
     return os.environ.get("LOGOSMILL_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
@@ -153,7 +166,7 @@ def p9_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_report, p2_found, p2_text, p3_found, p3_groups, p4_found, p4_records, p4_segments, p5_usage, p5_shares, p6_found, p6_stats, p7_containers, p7_fill, p8_found, p8_report, p9_found, p9_sources)
+    for f in (p1_found, p1_shards, p1_report, p2_found, p2_text, p3_found, p3_groups, p4_found, p4_records, p4_segments, p5_usage, p5_shares, p6_found, p6_ratios, p6_stats, p7_containers, p7_fill, p8_found, p8_report, p9_found, p9_sources)
 }
 
 
