@@ -53,5 +53,14 @@ def test_stream_dedup(spark, tmp_path):
     assert spark.sql("select * from lines").count() == 2
 
 
+def test_stream_of_log_points(spark, tmp_path):
+    rows = [("2024-01-01 00:01:00", "a", 2.0), ("2024-01-01 00:09:00", "a", 4.0), ("2024-01-01 00:11:00", "a", 1.0), ("2024-01-01 00:02:00", "b", 7.0)]
+    spark.createDataFrame(rows, "t string, run_key string, loss double").select(F.to_timestamp("t").alias("t"), "run_key", "loss").write.parquet(str(tmp_path / "in"))
+    q = ingest.loss_by_window(ingest.stream_table(spark, str(tmp_path / "in")), "t", "loss").writeStream.format("memory").queryName("losses").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted((r.run_key, r.mean_loss, r.points) for r in spark.table("losses").collect()) == [("a", 1.0, 1), ("a", 3.0, 2), ("b", 7.0, 1)]
+
+
 def test_priority_words():
     assert len(X.PRIORITY_WORDS) == 34 and len(X.PROBE_WORDS) == 24
