@@ -12,7 +12,7 @@ from .common import load, records, written
 from .oracles import ORACLE
 
 PROSE_TABLES = ("conv_sentences", "wiki_articles")
-SMALL_SHARD = 100_000
+SMALL_SHARD = 400_000
 SENTENCE_TABLES = ("conv_sentences", "lit_sentences")
 
 
