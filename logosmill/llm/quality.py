@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .textnorm import CharBatch, fold_char, script_totals, slices, tables, to_string_array, word_hash
 
 #: Additive features of a line.
-CHARS, LETTERS, DIGITS, VOWELS, SAME, CELLS, COMMAS, DASHES, SLASHES, MARKS, SYMBOLS, CLUSTERS, WORDS, WORDCHARS, COMMON, NUMBERS, CAPS, CODES, BADENDS = range(19)
-NF = 19
+CHARS, LETTERS, DIGITS, VOWELS, SAME, CELLS, COMMAS, DASHES, SLASHES, MARKS, SYMBOLS, CLUSTERS, WORDS, WORDCHARS, COMMON, NUMBERS, CAPS, CODES, BADENDS, MARKED = range(20)
+NF = 20
 #: Characters of a chunk, and of the spans that longer texts are dealt out in.
 CHUNK, SPAN = 1000, 1 << 16
 BLANK = re.compile(r"\s")
@@ -73,7 +73,7 @@ def common_hashes(words: list[tuple[str, str]]) -> np.ndarray:
 def char_tables() -> dict:
     if not _T:
         t = tables()
-        letter, digit, upper, vowel, space = (np.zeros(65537, bool) for _ in range(5))
+        letter, digit, upper, vowel, space, marked = (np.zeros(65537, bool) for _ in range(6))
         vowels = set("αειουηωaeiouyаеиоуыэюяё")
         for o in range(65536):
             if 0xD800 <= o <= 0xDFFF:
@@ -81,7 +81,8 @@ def char_tables() -> dict:
             ch = chr(o)
             letter[o], digit[o], upper[o], space[o] = ch.isalpha(), ch.isdigit(), ch.isupper(), ch.isspace()
             vowel[o] = letter[o] and chr(int(t["fold"][o])) in vowels if letter[o] else False
-        _T.update(letter=letter, digit=digit, upper=upper, vowel=vowel, space=space)
+            marked[o] = letter[o] and (t["script"][o] != 1 or chr(int(t["fold"][o])) != ch.lower().replace("ς", "σ"))  # no plain Greek letter
+        _T.update(marked=marked, letter=letter, digit=digit, upper=upper, vowel=vowel, space=space)
     return _T
 
 
@@ -109,6 +110,7 @@ def _flags(low: np.ndarray, begins: np.ndarray) -> dict:
         MARKS: digit & ((nxt == 46) | (nxt == 41)) & (nx2 == 32),
         SYMBOLS: full & ~letter & ~digit,
         CLUSTERS: _clusters(letter, vowel, nxt, nx2, t),
+        MARKED: t["marked"][low],
     }
 
 
@@ -187,7 +189,7 @@ def classify(m: np.ndarray, lead: list[str], last: list[str]) -> tuple[np.ndarra
     rows = (items >= 3) & named & (common <= 0.12 * plain) & (plain <= 3 * (items + 1)) & (num <= 0.34 * plain + 1)
     item = marker & ~stop & (plain <= 8) & (m[:, LETTERS] > 0) | marker & (plain <= 5) & (common <= 1) & np.array([x[-1:] == ")" for x in last], bool)
     vow = m[:, VOWELS] / np.maximum(m[:, LETTERS], 1)
-    salad = (common == 0) & (m[:, LETTERS] >= 12) & ((vow < 0.33) | (m[:, CLUSTERS] > 0.16 * m[:, LETTERS]) | ((m[:, BADENDS] >= 2) & (m[:, BADENDS] >= 0.3 * plain))) & (plain >= 2)
+    salad = (common == 0) & (m[:, LETTERS] >= 12) & ((vow < 0.33) | (m[:, CLUSTERS] > 0.16 * m[:, LETTERS]) | ((m[:, BADENDS] >= 2) & (m[:, BADENDS] >= 0.3 * plain)) | ((m[:, MARKED] == 0) & (m[:, CLUSTERS] > 0.1 * m[:, LETTERS]))) & (plain >= 2)
     codes = (m[:, CODES] >= 0.5 * np.maximum(words, 1)) & (words > 0) & (common <= 1)
     thin = (m[:, LETTERS] < 0.5 * chars) & ~speaks & (chars >= 6)
     same = (m[:, SAME] > 0.5 * chars) & (chars >= 6)
