@@ -23,7 +23,8 @@ from .common import hash_sample, written
 from .textnorm import consistent_all, fold_char
 
 DIM = 1 << 13
-LAST_WORD = re.compile(r"([^\W\d_]+)[^\w]*$")
+#: The last word, in a text read backwards.
+LAST_WORD = re.compile(r"\W*([^\W\d_]+)")
 BULLET = re.compile(r"^(?:[-*•–—·]\s|\d{1,3}[.)]\s)")
 SENTENCE = re.compile(r"[.!?;…»\"”)\]]$")
 FINISHED = re.compile(r"[.!?;][»\"”)\]]?$")
@@ -65,8 +66,8 @@ def features(tail: str, near: str, common: set[str]) -> list[str]:
     before = lines[-2].strip() if len(lines) > 1 else ""
     words = last.split()
     n = len(words)
-    m = LAST_WORD.search(e)
-    w = "".join(map(fold_char, m[1])) if m else ""
+    m = LAST_WORD.match(e[::-1])
+    w = "".join(map(fold_char, m[1][::-1])) if m else ""
     end = e[-1:]
     shape = "bullet" if BULLET.match(last) else "cap" if last[:1].isupper() else "low"
     count = "1" if n == 1 else "2-3" if n < 4 else "4-7" if n < 8 else "8+"
@@ -204,7 +205,7 @@ class TruncationModel:
             return
         ends = consistent_all([x[0] for x in made])
         near = [x[1] for x in made]
-        x, blind = (np.array([hashed(features(t, z, common)) for t, z in zip(ends, zs)]) for zs in (near, ["no"] * len(near)))
+        x = np.array([hashed(features(t, z, common)) for t, z in zip(ends, near)])
         y, weight, row = (np.array([m[j] for m in made], float) for j in (2, 3, 4))
         hold = (rng.random(len(rows)) < 0.2)[row.astype(int)]  # all forms of a text on one side
         w, g2 = self.weights, np.full(DIM + 1, 1e-6)
@@ -220,11 +221,12 @@ class TruncationModel:
             w -= 0.5 * g / np.sqrt(g2)
 
         def accuracy(z: np.ndarray, which: np.ndarray) -> float:
-            right = ((w[z[which]].sum(1) + w[DIM] > 0) == (y[which] == 1)) * weight[which]
-            return float(right.sum() / weight[which].sum()) if which.any() else float("nan")
+            right = ((w[z].sum(1) + w[DIM] > 0) == (y[which] == 1)) * weight[which]
+            return float(right.sum() / weight[which].sum()) if len(z) else float("nan")
 
-        self.held_out, self.held_out_blind = accuracy(x, hold), accuracy(blind, hold)
-        self.held_out_by_class = {k: accuracy(x, hold & (y == v)) for k, v in (("whole", 0), ("cut", 1))}
+        blind = np.array([hashed(features(ends[i], "no", common)) for i in np.flatnonzero(hold)], int).reshape(int(hold.sum()), x.shape[1])
+        self.held_out, self.held_out_blind = accuracy(x[hold], hold), accuracy(blind, hold)
+        self.held_out_by_class = {k: accuracy(x[hold & (y == v)], hold & (y == v)) for k, v in (("whole", 0), ("cut", 1))}
 
     def score(self, end: str, near: str) -> float:
         """``end``: the closing lines in the consistent form."""
