@@ -115,7 +115,7 @@ def _flags(low: np.ndarray, begins: np.ndarray) -> dict:
 
 
 def line_matrix(cb: CharBatch, bounds: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Features of the lines [bounds[i], bounds[i+1]) of a batch; a line break belongs to none."""
+    """Features of the lines [bounds[i], bounds[i+1]) of a batch, none of them without a character; a line break belongs to none."""
     t = char_tables()
     low = cb.low
     n = len(low)
@@ -127,11 +127,9 @@ def line_matrix(cb: CharBatch, bounds: np.ndarray, common: np.ndarray) -> np.nda
     begins[bounds[bounds < n]] = True
     flags = _flags(low, begins)
     digit = flags[DIGITS]
-    edges = np.minimum(bounds, n)
+    words_only = ~brk
     for k, f in flags.items():
-        total = np.zeros(n + 1, np.int64)
-        np.cumsum(f & ~brk, out=total[1:])
-        out[:, k] = total[edges[1:]] - total[edges[:-1]]
+        out[:, k] = np.add.reduceat((f & words_only).view(np.uint8), bounds[:-1], dtype=np.int64)
     if len(cb.start):
         h = cb.hashes()
         at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
@@ -218,7 +216,8 @@ def pieces_of(text: str, size: int) -> list[str]:
 
 
 def empty_state() -> dict:
-    return {"sums": np.zeros(NF, np.int64), "lines": np.zeros(7, np.int64), "open": []}
+    """Sums and line counts of whole lines, lines that were closed and wait for their kind, and the open parts at the ends."""
+    return {"sums": np.zeros(NF, np.int64), "lines": np.zeros(7, np.int64), "closed": [], "open": []}
 
 
 @functools.lru_cache(maxsize=50_000)
@@ -246,37 +245,50 @@ def _join(a: dict, b: dict) -> dict:
     }
 
 
-def _count(state: dict, m: np.ndarray, lead: list[str], last: list[str]) -> None:
-    kind, bare = classify(m, lead, last)
-    full = kind >= 0
-    state["sums"] += m.sum(0)
-    state["lines"][:4] += np.bincount(kind[full], minlength=4)
-    state["lines"][4] += int(bare.sum())
-    state["lines"][5] += sum(x in STOPS for x, y in zip(last, full) if y)
-    state["lines"][6] += int(full.sum())
-
-
 def merge(a: dict, b: dict) -> dict:
     """The state of two neighbouring stretches of one text."""
     if not a["open"]:
         return b
     if not b["open"]:
         return a
-    out = {"sums": a["sums"] + b["sums"], "lines": a["lines"] + b["lines"], "open": []}
+    out = {"sums": a["sums"] + b["sums"], "lines": a["lines"] + b["lines"], "closed": a["closed"] + b["closed"], "open": []}
     mid = _join(a["open"][-1], b["open"][0])
     if len(a["open"]) == 2 and len(b["open"]) == 2:
-        _count(out, mid["f"][None, :], [mid["lead"]], [mid["last"]])
+        out["closed"].append(mid)
         out["open"] = [a["open"][0], b["open"][1]]
     else:
         out["open"] = [*a["open"][:-1], mid, *b["open"][1:]]
     return out
 
 
-def finish(state: dict) -> tuple[np.ndarray, np.ndarray]:
-    out = {"sums": state["sums"].copy(), "lines": state["lines"].copy(), "open": []}
-    for x in state["open"]:
-        _count(out, x["f"][None, :], [x["lead"]], [x["last"]])
-    return out["sums"], out["lines"]
+def settle(states: list[dict]) -> list[dict]:
+    """The states with the kinds of closed lines counted, those of all states at once."""
+    waiting = [x for s in states for x in s["closed"]]
+    if waiting:
+        owner = np.repeat(np.arange(len(states)), [len(s["closed"]) for s in states])
+        sums, lines = tally(np.stack([x["f"] for x in waiting]), [x["lead"] for x in waiting], [x["last"] for x in waiting], owner, len(states))
+        for s, more, counts in zip(states, sums, lines):
+            s["sums"], s["lines"], s["closed"] = s["sums"] + more, s["lines"] + counts, []
+    return states
+
+
+def finish(states: list[dict]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sums and line counts of whole texts."""
+    done = settle([s | {"closed": s["closed"] + s["open"], "open": []} for s in states])
+    return [(s["sums"], s["lines"]) for s in done]
+
+
+def tally(m: np.ndarray, lead: list[str], last: list[str], row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums and line counts of n rows from their lines."""
+    kind, bare = classify(m, lead, last)
+    full = kind >= 0
+    stop = np.fromiter((x in STOPS for x in last), bool, len(last))
+    sums, lines = np.zeros((n, NF), np.int64), np.zeros((n, 7), np.int64)
+    for k in range(4):
+        lines[:, k] = np.bincount(row[kind == k], minlength=n)
+    lines[:, 4], lines[:, 5], lines[:, 6] = (np.bincount(row[x], minlength=n) for x in (bare, stop & full, full))
+    np.add.at(sums, row, m)
+    return sums, lines
 
 
 class ChunkLines:
@@ -307,17 +319,9 @@ class ChunkLines:
 
     def sums(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sums and line counts of every chunk over the lines ``which`` (numbers), counted as whole lines."""
-        row, n = self.chunk[which], self.n
-        last = [self.last[i] for i in which.tolist()]
-        kind, bare = classify(self.m[which], [self.lead[i] for i in which.tolist()], last)
-        full = kind >= 0
-        stop = np.fromiter((x in STOPS for x in last), bool, len(last))
-        sums, lines = np.zeros((n, NF), np.int64), np.zeros((n, 7), np.int64)
-        for k in range(4):
-            lines[:, k] = np.bincount(row[kind == k], minlength=n)
-        lines[:, 4], lines[:, 5], lines[:, 6] = (np.bincount(row[x], minlength=n) for x in (bare, stop & full, full))
-        np.add.at(sums, row, self.m[which])
-        return sums, lines
+        every = len(which) == len(self.lead)
+        lead, last = (self.lead, self.last) if every else ([x[i] for i in which.tolist()] for x in (self.lead, self.last))
+        return tally(self.m[which], lead, last, self.chunk[which], self.n)
 
     def part(self, i: int) -> dict:
         a, b = int(self.start[i]), int(self.end[i])
@@ -360,16 +364,21 @@ def _chunks(arr: pa.Array, common: np.ndarray, chunk: int, totals, ends: bool) -
 def stretch_state(text: str, common: np.ndarray, chunk: int = CHUNK, totals=script_totals) -> dict:
     """The state of a stretch of a longer text, merged from those of its chunks."""
     _, sums, counts, opened = _chunks(to_string_array(pa.array([text], pa.large_string())), common, chunk, totals, True)
-    return functools.reduce(merge, [{"sums": sums[c], "lines": counts[c], "open": opened[c]} for c in range(len(sums))], empty_state())
+    return settle([functools.reduce(merge, [_state(sums, counts, opened, c) for c in range(len(sums))], empty_state())])[0]
+
+
+def _state(sums: np.ndarray, counts: np.ndarray, opened: dict, c: int) -> dict:
+    return {"sums": sums[c], "lines": counts[c], "closed": [], "open": opened[c]}
 
 
 def text_counts(arr: pa.Array, common: np.ndarray, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
     """Sums and line counts of each text, merged from those of its chunks."""
     at, sums, counts, opened = _chunks(arr, common, chunk, script_totals, False)
     out_sums, out_counts = sums[at[:-1]], counts[at[:-1]]
-    for i in np.flatnonzero(np.diff(at) > 1).tolist():
-        state = functools.reduce(merge, [{"sums": sums[c], "lines": counts[c], "open": opened[c]} for c in range(int(at[i]), int(at[i + 1]))])
-        out_sums[i], out_counts[i] = finish(state)
+    several = np.flatnonzero(np.diff(at) > 1).tolist()
+    states = [functools.reduce(merge, [_state(sums, counts, opened, c) for c in range(int(at[i]), int(at[i + 1]))]) for i in several]
+    for i, (a, b) in zip(several, finish(states)):
+        out_sums[i], out_counts[i] = a, b
     return out_sums, out_counts
 
 
@@ -448,9 +457,9 @@ def text_quality(df: DataFrame, common: list[tuple[str, str]], id_col: str = "re
                 out = merge(out, pickle.loads(s))
             copies = int(pdf["copies"].iloc[0])
             if level:
-                arrays = stats_arrays(*finish(out))
+                arrays = stats_arrays(*finish([out])[0])
                 return pd.DataFrame({"k": [key[0]] * copies} | {x: a.to_pylist() * copies for x, a in zip(names[1:], arrays)})
-            return pd.DataFrame({"k": [key[0]], "h": [key[1]], "c": [key[2]], "s": [pickle.dumps(out)], "copies": [copies]})
+            return pd.DataFrame({"k": [key[0]], "h": [key[1]], "c": [key[2]], "s": [pickle.dumps(settle([out])[0])], "copies": [copies]})
 
         return run
 

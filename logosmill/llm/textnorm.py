@@ -128,6 +128,8 @@ class _CharMap(dict):
 
 
 CHAR_MAP = _CharMap()
+#: Words that need no look at the scripts of their letters.
+PURE = re.compile("[0-9A-Za-z]+|[0-9\u0370-\u03ff\u1f00-\u1fff]+")
 WORD = re.compile(r"[^\W_](?:[^\W_]|[̀-ͯ])*")
 MARKS = re.compile("[%s]" % "".join(chr(o) for o in range(0x300, 0x10000) if not 0xD800 <= o < 0xE000 and ud.category(chr(o)) == "Mn"))
 
@@ -209,6 +211,8 @@ def consistent(text: str, totals=None) -> str:
     text = ud.normalize("NFC", text)
     todo = []
     for m in WORD.finditer(text):
+        if PURE.fullmatch(m[0]):
+            continue
         both, n = resolved(m[0])
         if not both:
             todo.append((m.start(), m.end(), n))

@@ -33,7 +33,7 @@ def chunked(text, sizes):
     while len(states) > 1:
         i = random.Random(len(states)).randrange(len(states) - 1)
         states[i : i + 2] = [Q.merge(states[i], states[i + 1])]
-    s, n = Q.finish(states[0])
+    s, n = Q.finish(states)[0]
     return s.tolist(), n.tolist()
 
 
