@@ -25,7 +25,7 @@ UNITS = ("words", "chars", "records")
 def record_sizes(df: DataFrame, id_col: str = "rec_id", source_col: str = "source_name", text_col: str = "text") -> DataFrame:
     """(id, source, words, chars, records) of each record with text, redelivered rows once. Words as in the consistent form, characters as delivered."""
     kind = df.schema[id_col].dataType.simpleString()
-    rows = df.where(F.col(text_col) != "").select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("t"))
+    rows = df.where((F.col(text_col) != "") & F.col(id_col).isNotNull() & F.col(source_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("t"))
 
     def run(batches):
         for batch in batches:
@@ -75,7 +75,7 @@ def mix_sources(df: DataFrame, targets: DataFrame, seed: int = 20240607) -> tupl
     usage: mix_id, source_name, rec_id, times (0 up to max_repeats), one row per
     mix and record with text. shares: mix_id, source_name, target_share,
     actual_share (of what the mix really holds), budget, actual_size,
-    max_used. Null and empty texts are no records; a source without records
+    max_used. Null and empty texts, null ids and null sources are no records; a source without records
     has share 0. ``targets`` is small (a bounded table of mixes).
     """
     sizes = written(record_sizes(df), "mix-sizes")

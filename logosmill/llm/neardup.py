@@ -318,9 +318,9 @@ def alike_classes(df: DataFrame, id_col: str = "rec_id", bar: float = BAR, least
     """Links between classes of equal word sets (a, b, shared, similarity, weighted), and (rep, id) of every record with ``least`` words.
 
     The bar is on the share of equal words, or with ``weighted`` of their idf weight (sizes and bitmaps then prune nothing). ``df``: id and text columns; others are ignored. Null, empty and short
-    texts are alike to none and have no row. Redelivered rows count once.
+    texts are alike to none and have no row, nor have null ids. Redelivered rows count once.
     """
-    rows = df.select(id_col, "text")
+    rows = df.where(F.col(id_col).isNotNull()).select(id_col, "text")
     reps = written(classes(word_table(rows, [id_col], least)), "neardup-reps")
     sampler = Sampler(*frequent_shingles(reps), **sampling)
     links = verified(candidates(reps, sampler, 0.0 if weighted else bar), reps, sampler, bar, weighted)
