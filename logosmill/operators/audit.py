@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
-from ..functions.text import greek_letters, has_stress, letters, strip_edges, syllables, words
+from ..functions.text import BLANKS, greek_letters, has_stress, letters, strip_edges, syllables, words
 
 
 def totals(df: DataFrame) -> DataFrame:
@@ -31,12 +34,11 @@ def char_frequency(df: DataFrame) -> DataFrame:
 
 def script_classes(df: DataFrame) -> DataFrame:
     """Characters by class: Greek blocks, Latin (ASCII letters), digits, spaces, and the rest as punctuation."""
-    f = char_frequency(df)
-    kind = (
-        F.when(F.col("char").rlike(X.GREEK), "greek").when(F.col("char").rlike("[A-Za-z]"), "latin").when(F.col("char").rlike(X.DIGIT), "digit")
-        .when(F.col("char") == " ", "space").otherwise("punct")
-    )
-    return f.groupBy(kind.alias("class")).agg(F.sum("n").alias("n"))
+    return char_frequency(df).groupBy(script_class(F.col("char")).alias("class")).agg(F.sum("n").alias("n"))
+
+
+def script_class(char: Column) -> Column:
+    return F.when(char.rlike(X.GREEK), "greek").when(char.rlike("[A-Za-z]"), "latin").when(char.rlike(X.DIGIT), "digit").when(char == " ", "space").otherwise("punct")
 
 
 def corpus_words(df: DataFrame, lower: bool = True) -> DataFrame:
@@ -87,3 +89,49 @@ def least_greek(df: DataFrame, order: list[str], k: int = 5) -> DataFrame:
 def sample_lines(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """n rows without replacement, by hash of the key and seed."""
     return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))).limit(n)
+
+
+_BLANK = re.compile(f"[{re.escape(BLANKS)}]+")
+
+
+def _batch_counts(batches):
+    for batch in batches:
+        lines = [x for x in batch.column(0).to_pylist() if x is not None]
+        words: Counter = Counter()
+        n = 0
+        for x in lines:
+            ws = [w for w in _BLANK.split(x) if w]
+            n += len(ws)
+            words.update(ws)
+        text = "".join(lines)
+        code, each = np.unique(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
+        kind = ["total"] * 3 + ["char"] * len(code) + ["word"] * len(words)
+        key = ["lines", "words", "chars", *(chr(c) for c in code), *words]
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key, pa.string()), pa.array([len(lines), n, len(text), *each.tolist(), *words.values()], pa.int64())], ["kind", "key", "n"])
+
+
+def counts(df: DataFrame) -> DataFrame:
+    """(kind, key, n): totals (lines, words, chars), characters and words as they stand, from one pass over the lines. The whole
+    audit but its samples of lines derives from it; it has a row a distinct character or word."""
+    return df.select("line").mapInArrow(_batch_counts, "kind string, key string, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+
+def report(found: DataFrame, top: int = 20, unaccented: int = 10) -> DataFrame:
+    """(section, item, n) of an audit from ``counts`` (written once): totals, scripts, accents, frequent words, frequent words without an accent."""
+    of = lambda k: found.where(F.col("kind") == k)
+    scripts = of("char").groupBy(script_class(F.col("key")).alias("item")).agg(F.sum("n").alias("n"))
+    words = of("word").select(strip_edges(F.col("key")).alias("word"), "n").where("word <> ''")
+    low = words.groupBy(F.lower("word").alias("item")).agg(F.sum("n").alias("n"))
+    poly = words.where(syllables(F.col("word")) >= 2)
+    bare = poly.where(~has_stress(F.col("word")))
+    accents = [poly.agg(F.lit("polysyllabic").alias("item"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")), poly.where(has_stress(F.col("word"))).agg(F.lit("accented").alias("item"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))]
+    parts = [
+        ("totals", of("total").select(F.col("key").alias("item"), "n")), ("totals", low.agg(F.lit("vocabulary").alias("item"), F.count("*").alias("n"))), ("scripts", scripts),
+        *(("accents", x) for x in accents), ("frequent", low.orderBy(F.desc("n"), "item").limit(top)),
+        ("unaccented", bare.groupBy(F.lower("word").alias("item")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "item").limit(unaccented)),
+    ]
+    out = None
+    for name, part in parts:
+        rows = part.select(F.lit(name).alias("section"), "item", "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out

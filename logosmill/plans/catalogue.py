@@ -307,6 +307,19 @@ def audit_sample(spark, sf_dir):
     return audit.sample_lines(c, "key", 100).select("doc_id", F.col("line_no").cast("bigint").alias("line_no"), "line")
 
 
+@query(
+    f"with e as materialized (select e, count(*) as n from ({_EDGED}) b group by e), low as (select {lower_sql('e')} as word, sum(n)::BIGINT as n from e group by all), poly as (select e, n from e where {_SYLL} >= 2), "
+    f"bare as (select {lower_sql('e')} as word, sum(n)::BIGINT as n from poly where not regexp_matches(e, '[{X.STRESSED}]') group by all), c as materialized ({CORPUS_SQL}), f as ({_CHARS}) "
+    f"select 'totals' as section, unnest(['lines', 'words', 'chars']) as item, unnest([count(*), sum(len({words_sql('line')}))::BIGINT, sum(length(line))::BIGINT]) as n from c union all select 'totals', 'vocabulary', count(*) from low "
+    f"union all select 'scripts', case when regexp_matches(char, {q(X.GREEK)}) then 'greek' when regexp_matches(char, '[A-Za-z]') then 'latin' when regexp_matches(char, {q(X.DIGIT)}) then 'digit' when char = ' ' then 'space' else 'punct' end as class, sum(n)::BIGINT from f group by class "
+    f"union all select 'accents', 'polysyllabic', sum(n)::BIGINT from poly union all select 'accents', 'accented', sum(n)::BIGINT from poly where regexp_matches(e, '[{X.STRESSED}]') "
+    "union all select * from (select 'frequent', word, n from low order by n desc, word limit 20) t union all select * from (select 'unaccented', word, n from bare order by n desc, word limit 10) u"
+)
+def audit_report(spark, sf_dir):
+    """The audit from one pass over the lines."""
+    return audit.report(written(audit.counts(corpus(spark, sf_dir)), "audit"))
+
+
 # Vocabulary
 
 
