@@ -176,20 +176,22 @@ class TruncationModel:
     """Logistic regression over hashed features; fitted on at most as many texts as it is given.
 
     ``rows``: (source, whole text, near). ``limits``: source -> (characters,
-    bytes). ``chance``: the share of all texts that have the length of a limit
-    by chance; intact texts count as negatives at a limit with that weight.
+    bytes). Texts that end with a finished sentence are whole; the share of them
+    that has the length of a limit tells how often whole texts do, and other
+    intact texts count as negatives at a limit with that weight.
     ``held_out`` is the accuracy on texts not fitted, ``held_out_blind`` the same
     with the length hidden, ``held_out_by_class`` that of whole and of cut texts.
     """
 
-    def __init__(self, rows: list[tuple[str, str, str]], limits: dict, common: set[str], chance: float = 0.01, seed: int = 7, rounds: int = 60):
+    def __init__(self, rows: list[tuple[str, str, str]], limits: dict, common: set[str], seed: int = 7, rounds: int = 60):
         self.common = common
         rng = np.random.default_rng(seed)
         made: list[tuple[str, str, int, float, int]] = []  # closing, near, cut, weight, row
-        for i, (source, text, near) in enumerate(rows):
+        closings = [closing(text) for _, text, _ in rows]
+        finished = [bool(FINISHED.search(x.rstrip())) for x in closings]
+        chance = max(1e-4, sum(near != "no" for (_, _, near), f in zip(rows, finished) if f) / max(sum(finished), 1))
+        for i, ((source, text, near), end, whole) in enumerate(zip(rows, closings, finished)):
             own = limits.get(source, ([], []))
-            end = closing(text)
-            whole = bool(FINISHED.search(end.rstrip()))
             if near == "no" and not BROKEN.search(end.rstrip()):
                 made.append((end, "no", 0, 1.0, i))
                 made += [(end, x, 0, chance, i) for x, some in zip(("chars", "bytes"), own) if some]
@@ -229,8 +231,8 @@ class TruncationModel:
         self.held_out_by_class = {k: accuracy(x[hold & (y == v)], hold & (y == v)) for k, v in (("whole", 0), ("cut", 1))}
 
     def score(self, end: str, near: str) -> float:
-        """``end``: the closing lines in the consistent form."""
-        if not end.strip():
+        """``end``: the closing lines in the consistent form. A text that ends with a finished sentence is whole, whatever its length."""
+        if not end.strip() or FINISHED.search(end.rstrip()):
             return 0.0
         return float(1 / (1 + np.exp(-(self.weights[hashed(features(end, near, self.common))].sum() + self.weights[DIM]))))
 
@@ -241,17 +243,16 @@ def fit_truncation(df: DataFrame, common: list[str], id_col: str = "doc_id", sou
     picked = with_limits(hash_sample(df, id_col, sample).where(F.length(text_col) > 20), limits, id_col, source_col, text_col)
     rows = sorted({(r.s, r.t, r.near) for r in picked.select("s", "t", "near").collect()})
     known: dict = {}
-    chance = 0.0
     for r in limits.join(picked.select("s").distinct(), "s").collect():  # those of at most ``sample`` sources
         known.setdefault(r.s, ([], []))[r.u == "b"].append(r.n)
-        chance += (r.chance or 0.0) / r.total
-    return TruncationModel(rows, known, {"".join(map(fold_char, w)) for w in common}, chance / max(len(known), 1)), limits
+    return TruncationModel(rows, known, {"".join(map(fold_char, w)) for w in common}), limits
 
 
 def score_truncation(df: DataFrame, model: TruncationModel, limits: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", bar: float = 0.5, cut_only: bool = False) -> DataFrame:
     """(id, source, score, cut) for every row; with ``cut_only`` the ids of cut rows.
 
-    Null, empty and blank texts score 0. Repeated rows give repeated rows;
+    Null, empty and blank texts and those that end with a finished sentence
+    score 0. Repeated rows give repeated rows;
     other columns are ignored. The last four lines with text, whole, and the
     length enter the score.
     """
