@@ -40,7 +40,7 @@ def piece_composition(pieces: DataFrame, df: DataFrame | None, mark: str = "▁"
     p = pieces.select("piece", raw.alias("raw"), F.col("piece").startswith("<").alias("special"), F.col("piece").endswith(mark).alias("ends"))
     if df is not None:
         w = corpus_words(df, lower=False)
-        known = w.select(F.explode(F.array(F.col("word"), strip_accents(F.col("word")))).alias("raw")).join(F.broadcast(pieces.select(raw.alias("raw")).distinct()), "raw", "left_semi").distinct().withColumn("known", F.lit(True))
+        known = w.select(F.explode(F.array(F.col("word"), strip_accents(F.col("word")))).alias("raw")).join(pieces.select(raw.alias("raw")).distinct(), "raw", "left_semi").distinct().withColumn("known", F.lit(True))
         p = p.join(known, "raw", "left")
     else:
         p = p.withColumn("known", F.lit(True))
