@@ -7,6 +7,7 @@ words, and runs of one label are the segments.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import PROSE, batch_stats, common_hashes, greeklish, verdict
+from .quality import GREEKLISH, PROSE, batch_stats, common_hashes, greeklish, verdict
 from .textnorm import C, G, L, CharBatch, fold_char, slices, tables, to_string_array
 
 LANGS = ("el", "en", "fr", "de", "es", "it", "ru")
@@ -35,6 +36,12 @@ NOISY = re.compile(r"[={}\\|%_+/<>\[\]@]|[^\W\d_]\d|\d[^\W\d_]|[a-z][A-Z]|^www\.
 FAR, TRI = -8.0, 1 << 14
 #: Trigrams that the no-language share counts for beside those of a language.
 LEAN = 1000
+#: Count from which on a word is known, and the one that common words have besides, so that every language has some trigrams.
+KNOWN, FLOOR = 4, 3
+#: Kinds of counts besides the languages of LATIN: words in Latin letters wherever they stand, and Greek words; different ones that a task holds.
+SEEN, GREEK, HELD = len(LATIN), len(LATIN) + 1, 300_000
+#: A letter that a word in Latin letters may begin with.
+LATIN_LETTER = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u036f]")
 
 
 def label_language(label: str | None) -> str:
@@ -52,6 +59,76 @@ def _grams(word: str) -> list[int]:
     return [(ord(w[i]) * 1000003 + ord(w[i + 1]) * 8191 + ord(w[i + 2]) * 31) % TRI for i in range(len(w) - 2)]
 
 
+class _Fold(dict):
+    def __missing__(self, o: int) -> str:
+        self[o] = f = fold_char(chr(o))
+        return f
+
+
+FOLD = _Fold()
+#: Per spelling: pairs of letters, then single letters, in Latin ones.
+SPELLINGS = [
+    ([(g, greeklish(g, v)) for g, _ in GREEKLISH if len(g) == 2], {ord(g): greeklish(g, v) for g, _ in GREEKLISH if len(g) == 1}) for v in range(8)
+]
+
+
+def spellings(words: list[str], counts: list[float]) -> Counter:
+    """Folded Greek words in Latin letters: each of the eight spellings gets an eighth of the word's count."""
+    out: Counter = Counter()
+    for pairs, letters in SPELLINGS:
+        text = "\n".join(words)
+        for g, x in pairs:
+            text = text.replace(g, x)
+        for w, n in zip(text.translate(letters).split("\n"), counts):
+            out[w] += n / 8
+    return out
+
+
+def word_key(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def lexicon_of(common: list[tuple[str, str]]) -> dict[str, set]:
+    """The languages of each common word in Latin letters."""
+    lexicon: dict[str, set] = defaultdict(set)
+    for lang, w in common:
+        f = "".join(map(fold_char, w or ""))
+        if lang == "el":
+            for v in range(8):
+                lexicon[greeklish(f, v)].add("el")
+        elif lang in LATIN:
+            lexicon[f].add(lang)
+    return dict(lexicon)
+
+
+def floor(lexicon: dict[str, set]) -> list[tuple[str, str]]:
+    return [(k, w) for k in LATIN for w, ls in lexicon.items() if k in ls]
+
+
+def told(words: list[str], lexicon: dict[str, set]) -> str | None:
+    """The language that the common words tell beyond doubt, of the words in Latin letters of one text."""
+    votes: Counter = Counter()
+    for w in words if len(words) >= 3 else ():
+        ls = lexicon.get(w.translate(FOLD), ())
+        for k in ls:
+            votes[k] += 1 / len(ls)
+    top = votes.most_common(2)
+    return top[0][0] if top and top[0][1] >= 3 and (len(top) == 1 or top[0][1] >= 1.5 * top[1][1]) else None
+
+
+def tally(words: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of words and their counts in each language of LATIN: sums of trigrams, characters, and sums of these. A word counts 50 times at most, so that endings and stems outweigh a few frequent words."""
+    size = np.minimum(counts, 50.0)
+    text = np.frombuffer("".join([f"^{w}$" for w in words]).encode("utf-32-le"), np.uint32).astype(np.int64)
+    own = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    within = own[2:] == own[:-2]
+    grams = ((text[:-2] * 1000003 + text[1:-1] * 8191 + text[2:] * 31) % TRI)[within]
+    of = own[2:][within]
+    codes, at = np.unique(text, return_inverse=True)
+    table, letters = (np.stack([np.bincount(x, size[o, j], n) for j in range(len(LATIN))], 1) for x, o, n in ((grams, of, TRI), (at, own, len(codes))))
+    return table, codes, letters
+
+
 class LanguageModel:
     """Scores of Latin-script words: trigram likelihoods and known words.
 
@@ -60,46 +137,36 @@ class LanguageModel:
     """
 
     def __init__(self, common: list[tuple[str, str]], latin_texts: list[str], greek_texts: list[str]):
-        lexicon: dict[str, set] = defaultdict(set)
-        for lang, w in common:
-            f = "".join(map(fold_char, w or ""))
-            if lang == "el":
-                for v in range(8):
-                    lexicon[greeklish(f, v)].add("el")
-            elif lang in LATIN:
-                lexicon[f].add(lang)
-        self.lexicon = dict(lexicon)
+        lexicon = lexicon_of(common)
         by: dict[str, Counter] = {k: Counter() for k in LATIN}
         for t in latin_texts:
-            ws = [self.fold(w) for w in WORDS.findall(t) if w[0] < "Ͱ"]
-            votes = Counter()
-            for w in ws:
-                for k in lexicon.get(w, ()):
-                    votes[k] += 1 / len(lexicon[w])
-            top = votes.most_common(2)
-            if top and top[0][1] >= 3 and (len(top) == 1 or top[0][1] >= 1.5 * top[1][1]):
-                by[top[0][0]].update(w.lower() for w in WORDS.findall(t) if w[0] < "Ͱ")
-        for i, t in enumerate(greek_texts):
-            for w in WORDS.findall(t):
-                if "Ͱ" <= w[0] < "Ѐ":
-                    by["el"][greeklish(self.fold(w), i % 8)] += 1
-        for k in LATIN:  # a floor, so that every language has some trigrams
-            by[k].update({w: 3 for w, ls in lexicon.items() if k in ls})
-        table = np.full((TRI, len(LATIN)), 0.2)
-        letters: Counter = Counter()
-        for j, k in enumerate(LATIN):
-            for w, n in by[k].items():
-                for c in f"^{w}$":
-                    letters[c] += min(n, 50)
-                for g in _grams(w):
-                    table[g, j] += min(n, 50)
-        self.odds = self._odds(table - 0.2, letters)
-        self.table = np.log(table / table.sum(0)).astype(np.float32)
-        total = {k: sum(c.values()) for k, c in by.items()}
+            ws = [w for w in WORDS.findall(t) if w[0] < "Ͱ"]
+            if (k := told(ws, lexicon)) is not None:
+                by[k].update(w.lower() for w in ws)
+        greek = Counter(self.fold(w) for t in greek_texts for w in WORDS.findall(t) if "Ͱ" <= w[0] < "Ѐ")
+        by["el"].update(spellings(list(greek), list(greek.values())))
+        for k, w in floor(lexicon):
+            by[k][w] += FLOOR
+        words = sorted({w for c in by.values() for w in c})
+        counts = np.array([[by[k][w] for k in LATIN] for w in words], float).reshape(-1, len(LATIN))
+        known = np.flatnonzero(counts.max(1, initial=0) >= KNOWN)
+        self._fit(lexicon, *tally(words, counts), counts.sum(0), np.array([word_key(words[i]) for i in known], np.int64), counts[known])
+
+    @classmethod
+    def of_sums(cls, common: list[tuple[str, str]], *sums: np.ndarray) -> LanguageModel:
+        """The model of sums taken elsewhere: trigrams, characters and sums of these, words, keys of known words and their counts."""
+        model = cls.__new__(cls)
+        model._fit(lexicon_of(common), *sums)
+        return model
+
+    def _fit(self, lexicon, table, codes, letters, total, keys, counts) -> None:
+        self.lexicon = lexicon
+        self.odds = self._odds(table, Counter(dict(zip(map(chr, codes.tolist()), letters.sum(1).tolist()))))
+        self.table = np.log((table + 0.2) / (table + 0.2).sum(0)).astype(np.float32)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.known = np.log((counts[order] + 0.3) / (total + 3000)).astype(np.float32)
         self.cache: dict[str, np.ndarray] = {}
-        self.known = {}
-        for w in {w for c in by.values() for w, n in c.items() if n >= 4}:
-            self.known[w] = np.array([math.log((by[k][w] + 0.3) / (total[k] + 3000)) for k in LATIN], np.float32)
 
     @staticmethod
     def _odds(counts: np.ndarray, letters: Counter) -> np.ndarray:
@@ -115,7 +182,7 @@ class LanguageModel:
 
     @staticmethod
     def fold(word: str) -> str:
-        return "".join(map(fold_char, word))
+        return word.translate(FOLD)
 
     def score(self, word: str) -> np.ndarray:
         """Log scores over LANGS, the best is 0."""
@@ -132,8 +199,9 @@ class LanguageModel:
             return out
         w = word.lower()
         s = self.table[_grams(w)].sum(0) * 0.6
-        if (k := self.known.get(w)) is not None:
-            s = s * 0.3 + k
+        i = int(np.searchsorted(self.keys, key := word_key(w)))
+        if i < len(self.keys) and self.keys[i] == key:
+            s = s * 0.3 + self.known[i]
         if (ls := self.lexicon.get(self.fold(w))) is not None:
             s = s + np.array([2.0 if x in ls else 0.0 for x in LATIN], np.float32)
         s = np.maximum(s - s.max(), FAR + 1)
@@ -185,15 +253,94 @@ class LanguageModel:
         return out
 
 
-def fit_language_model(df: DataFrame, common: list[tuple[str, str]], text_col: str = "text", id_col: str = "rec_id", sample: int = 6000) -> LanguageModel:
-    """Fit on about ``sample`` texts with Latin words (all, if fewer) and a third as many Greek ones, whole texts chosen by hash of
-    the id. One scan counts them, one fetches the chosen."""
-    wanted = {"latin": (F.col(text_col).rlike("(?s)[a-zA-Z]{3}.*[a-zA-Z]{3}"), sample), "greek": (F.col(text_col).rlike("[α-ω]{3}"), sample // 3)}
-    flags = df.select(F.col(text_col).alias("t"), F.expr(f"shiftrightunsigned(xxhash64(`{id_col}`), 1)").alias("h"), *[c.alias(k) for k, (c, _) in wanted.items()])
-    n = flags.agg(*[F.sum(F.col(k).cast("bigint")).alias(k) for k in wanted]).first()
-    bound = {k: (1 << 63) - 1 if (n[k] or 0) <= size else int(size / n[k] * (1 << 63)) for k, (_, size) in wanted.items()}
-    chosen = flags.select("t", *[(F.col(k) & (F.col("h") < bound[k])).alias(k) for k in wanted]).where(" or ".join(wanted)).distinct().collect()
-    return LanguageModel(common, *[sorted(r.t for r in chosen if r[k]) for k in wanted])
+def _count_words(lexicon: dict[str, set]):
+    """Batches of texts to counts of words: (kind, word, n), each kind a place in LATIN, SEEN or GREEK."""
+
+    def run(batches):
+        tokens, own = Counter(), Counter()
+
+        def flush():
+            n = Counter(own)
+            for x, c in tokens.items():  # no word goes over a blank
+                for w in WORDS.findall(x):
+                    if w[0] < "Ͱ":
+                        n[SEEN, w.lower()] += c
+                    elif w[0] < "Ѐ":
+                        n[GREEK, w.translate(FOLD)] += c
+            tokens.clear()
+            own.clear()
+            kinds, words = zip(*n) if n else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(words, pa.string()), pa.array(n.values(), pa.int64())], ["kind", "word", "n"])
+
+        for batch in batches:
+            arr = to_string_array(batch.column(0))
+            for a, b in slices(arr):
+                texts = arr.slice(a, b - a).to_pylist()
+                tokens.update("\n".join(texts).split())
+                for t in texts:
+                    if LATIN_LETTER.search(t):
+                        ws = [w for w in WORDS.findall(t) if w[0] < "Ͱ"]
+                        if (k := told(ws, lexicon)) is not None:
+                            j = LATIN.index(k)
+                            own.update((j, w.lower()) for w in ws)
+                if len(tokens) + len(own) > HELD:
+                    yield flush()
+        yield flush()
+
+    return run
+
+
+def _spell(batches):
+    """Greek words to their spellings in Latin letters; other counts as they are."""
+    for batch in batches:
+        kind = np.asarray(batch.column(0))
+        rest = pa.array(kind != GREEK)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(rest), batch.column(1).filter(rest), batch.column(2).filter(rest).cast(pa.float64())], ["kind", "word", "n"])
+        greek = batch.filter(pa.array(kind == GREEK))
+        n = spellings(greek.column(1).to_pylist(), greek.column(2).to_pylist()) if len(greek) else {}
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), LATIN.index("el"), np.int32)), pa.array(n.keys(), pa.string()), pa.array(n.values(), pa.float64())], ["kind", "word", "n"])
+
+
+def _sums(batches):
+    """Words with their counts to sums (what, key, n of each language): trigrams, characters, all words, known words."""
+    names = ["what", "key", *LATIN]
+
+    def rows(what, keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), what, np.int8)), pa.array(keys, pa.int64()), *(pa.array(n[:, j], pa.float64()) for j in range(len(LATIN)))], names)
+
+    table, total, letters = np.zeros((TRI, len(LATIN))), np.zeros(len(LATIN)), defaultdict(lambda: np.zeros(len(LATIN)))
+    for batch in batches:
+        words, counts = batch.column(0).to_pylist(), np.stack([np.asarray(batch.column(1 + j)) for j in range(len(LATIN) + 1)], 1)
+        counts, seen = counts[:, :SEEN], counts[:, SEEN] > 0
+        more, codes, n = tally(words, counts)
+        table += more
+        total += counts.sum(0)
+        for c, x in zip(codes.tolist(), n):
+            letters[c] += x
+        known = np.flatnonzero((counts.max(1, initial=0) >= KNOWN) & seen)
+        yield rows(3, [word_key(words[i]) for i in known], counts[known])
+    used = np.flatnonzero(table.any(1))
+    yield rows(0, used, table[used])
+    yield rows(1, list(letters), np.array(list(letters.values())).reshape(-1, len(LATIN)))
+    yield rows(2, [0], total[None])
+
+
+def fit_language_model(df: DataFrame, common: list[tuple[str, str]], text_col: str = "text") -> LanguageModel:
+    """Fit on every text, copies once. Words are counted, spelled and summed on the executors; what comes to the driver is the table of
+    trigrams and the known words, of these only such as stand in Latin letters somewhere in the texts (no other word is looked up there)."""
+    spark, lexicon = df.sparkSession, lexicon_of(common)
+    texts = df.select(df[text_col].alias("t")).where("t <> ''").distinct()
+    counts = texts.mapInArrow(_count_words(lexicon), "kind int, word string, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"))
+    forms = counts.mapInArrow(_spell, "kind int, word string, n double")
+    if extra := [(LATIN.index(k), w, float(FLOOR)) for k, w in floor(lexicon)]:
+        forms = forms.unionByName(spark.createDataFrame(extra, "kind int, word string, n double"))
+    words = forms.groupBy("word").agg(*[F.sum(F.when(F.col("kind") == j, F.col("n")).otherwise(0.0)).alias(f"n{j}") for j in range(len(LATIN) + 1)])
+    schema = ", ".join(["what tinyint", "key bigint", *(f"`{k}` double" for k in LATIN)])
+    got = words.mapInArrow(_sums, schema).groupBy("what", "key").agg(*[F.sum(k).cast("float").alias(k) for k in LATIN]).toArrow()
+    what, key, n = np.asarray(got["what"]), np.asarray(got["key"]), np.stack([np.asarray(got[k]) for k in LATIN], 1).astype(float)
+    table = np.zeros((TRI, len(LATIN)))
+    table[key[what == 0]] = n[what == 0]
+    return LanguageModel.of_sums(common, table, key[what == 1], n[what == 1], n[what == 2].sum(0), key[what == 3], n[what == 3])
 
 
 def label_languages(df: DataFrame, model: LanguageModel, common: list[tuple[str, str]], id_col: str = "rec_id", text_col: str = "text", lang_col: str = "lang", passage: int = 6, output: str = "segments") -> DataFrame:

@@ -70,3 +70,30 @@ def test_passages_of_few_common_words(spark):
     df = spark.createDataFrame(rows, "rec_id bigint, text string, lang string")
     got = sorted(map(tuple, LG.label_languages(df, model, WORDS, output="found").distinct().collect()))
     assert got == [(i, x) for i in range(3) for x in ("el", "en")]
+
+
+def test_fit_counts_every_text(spark):
+    """Over more texts than the 6,000 and 2,000 that a sample once took: the same sums as over all texts at hand, copies once."""
+    import numpy as np
+
+    english = [f"The house number{i} was for the people that they took from there at dawn." for i in range(9000)]
+    greek = [f"Ο κόσμος άρχισε να κρατάει τον δρόμο με {a}{b}{c}{d}." for a in "βγδζθλμνπρ" for b in "αειουηω" for c in "κτσφχψξ" for d in "αειουηω"]
+    short = ["Es ist so, das ist es.", "Der sfortunat ist da, sfortunat und sfortunat und sfortunat."]  # the one has a single run of three plain letters
+    seen = ["Ο κόσμος είπε kosmos."]
+    texts = english + greek + short + seen
+    rows = [(i, t) for i, t in enumerate(texts + texts[:50] + [None, ""])]
+    model = LG.fit_language_model(spark.createDataFrame(rows, "rec_id bigint, text string"), WORDS)
+    every = LG.LanguageModel(WORDS, texts, texts)
+    assert np.allclose(model.table, every.table, atol=1e-5) and np.allclose(model.odds, every.odds, atol=1e-5)
+    for w in "the house number7 number sfortunat kosmos dawn ist unheard".split():
+        assert np.allclose(model.score(w), every.score(w), atol=1e-4), w
+    assert set(model.keys.tolist()) <= set(every.keys.tolist()) and {LG.word_key(w) for w in ("sfortunat", "kosmos", "dawn")} <= set(model.keys.tolist())
+
+
+def test_spellings():
+    words = ["ουρανοσ", "αυτοευρυχωροσ", "ξεχνουυ", "ψηφιωβ", "a1β"]
+    want = {}
+    for w in words:
+        for v in range(8):
+            want[LG.greeklish(w, v)] = want.get(LG.greeklish(w, v), 0) + 3 / 8
+    assert LG.spellings(words, [3] * len(words)) == want
